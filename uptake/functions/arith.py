@@ -24,13 +24,13 @@ def safe_ratio(x, y) -> Column:
     * x + y == 0          -> 0   (so 0/0 and x/-x give 0)
     * y == 0, x != 0      -> +inf or -inf with the sign of x
     * otherwise           -> x / y (doubles, no integer truncation)
-    * a NULL input        -> NULL
+    * a NULL input        -> NULL (also NULL / 0)
     """
     xd = _c(x).cast("double")
     yd = _c(y).cast("double")
     return (
         F.when(xd + yd == 0, F.lit(0.0))
-        .when(yd == 0, F.when(xd > 0, F.lit(POS_INF)).otherwise(F.lit(NEG_INF)))
+        .when(yd == 0, F.when(xd > 0, F.lit(POS_INF)).when(xd < 0, F.lit(NEG_INF)))
         .otherwise(F.try_divide(xd, yd))
     )
 

@@ -127,9 +127,15 @@ def table_counts(tables: Mapping[str, DataFrame], key: str) -> DataFrame:
     return out
 
 
-def slope(y: str, x: str) -> Column:
-    """A10 aggregate: OLS slope of y on x; a single x value gives 0 (scikit-learn does)."""
-    return F.coalesce(F.regr_slope(F.col(y).cast("double"), F.col(x).cast("double")), F.lit(0.0))
+def slope(y: str, x: str, window=None) -> Column:
+    """A10 aggregate: OLS slope of y on x; a single x value gives 0 (scikit-learn does).
+
+    With ``window`` the slope is computed over it (W4: repeated on every row).
+    """
+    s = F.regr_slope(F.col(y).cast("double"), F.col(x).cast("double"))
+    if window is not None:
+        s = s.over(window)
+    return F.coalesce(s, F.lit(0.0))
 
 
 def slope_per_group(df: DataFrame, key: str, y: str, x: str, name: str) -> DataFrame:

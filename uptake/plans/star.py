@@ -190,7 +190,7 @@ def fanout_audit(installations: DataFrame, region_map: DataFrame) -> DataFrame:
         "n_rows",
         "n_regions",
         "capacity_in",
-        (F.col("capacity_in") * F.greatest(F.col("n_regions"), F.lit(1))).alias("capacity_out"),
+        (F.col("capacity_in").cast("double") * F.greatest(F.col("n_regions"), F.lit(1))).alias("capacity_out"),
     )
 
 

@@ -16,7 +16,9 @@ installations   lineitem x part at month grain, like monthly drop files:
                 Postcode=l_partkey, State=p_brand, Type from l_returnflag
                 (R residential, A business, N unclassified), Year of ship date;
                 capacity from l_extendedprice (solar: status O, battery: F,
-                other: price*discount); connections from l_quantity, other
+                other: price*discount) as DECIMAL(38,4), so sums are exact
+                in any order and both engines see identical amounts;
+                connections from l_quantity (integral doubles, exact), other
                 connections = rows with zero discount
 crosswalk       distinct (l_suppkey, s_name, l_partkey): many-to-many
 crosswalk_partial  crosswalk restricted to parts of size <= 45, so some
@@ -51,10 +53,13 @@ SELECT l.l_partkey AS Postcode,
                            WHEN 'A' THEN 'BUSINESS'
                            ELSE 'NoClassification' END AS Type,
        CAST(year(l.l_shipdate) AS INT) AS Year,
-       SUM(l.l_extendedprice) AS TotalCapacity,
-       SUM(CASE WHEN l.l_linestatus = 'O' THEN l.l_extendedprice ELSE 0.0 END) AS SolarCapacity,
-       SUM(CASE WHEN l.l_linestatus = 'F' THEN l.l_extendedprice ELSE 0.0 END) AS BatteryCapacity,
-       SUM(l.l_extendedprice * l.l_discount) AS OtherCapacity,
+       CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18, 2))) AS DECIMAL(38, 4)) AS TotalCapacity,
+       CAST(SUM(CASE WHEN l.l_linestatus = 'O' THEN CAST(l.l_extendedprice AS DECIMAL(18, 2)) ELSE 0 END)
+            AS DECIMAL(38, 4)) AS SolarCapacity,
+       CAST(SUM(CASE WHEN l.l_linestatus = 'F' THEN CAST(l.l_extendedprice AS DECIMAL(18, 2)) ELSE 0 END)
+            AS DECIMAL(38, 4)) AS BatteryCapacity,
+       CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18, 2)) * CAST(l.l_discount AS DECIMAL(18, 2)))
+            AS DECIMAL(38, 4)) AS OtherCapacity,
        SUM(l.l_quantity) AS TotalDerConnections,
        SUM(CASE WHEN l.l_linestatus = 'O' THEN l.l_quantity ELSE 0.0 END) AS SolarConnections,
        SUM(CASE WHEN l.l_linestatus = 'F' THEN l.l_quantity ELSE 0.0 END) AS BatteryConnections,
