@@ -77,3 +77,12 @@ def finite_or_null(x) -> Column:
 def share_true(pred) -> Column:
     """A13 aggregate: share of rows where ``pred`` holds; NULL counts as false."""
     return F.avg(F.coalesce(_c(pred), F.lit(False)).cast("double"))
+
+
+def ieee_divide(x, y) -> Column:
+    """Plain floating division as pandas does it: x/0 -> +-inf, 0/0 -> missing (NULL)."""
+    xd = _c(x).cast("double")
+    yd = _c(y).cast("double")
+    return F.when(yd == 0, F.when(xd > 0, F.lit(POS_INF)).when(xd < 0, F.lit(NEG_INF))).otherwise(
+        F.try_divide(xd, yd)
+    )

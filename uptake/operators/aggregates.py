@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uptake.functions.arith import ln_inf, nan_to_null, row_sum, safe_ratio, share_true
+from uptake.functions.arith import ieee_divide, ln_inf, nan_to_null, row_sum, share_true
 
 
 def _q(name: str) -> str:
@@ -149,10 +149,14 @@ def correlation_long(
     """Pearson correlation of every column pair after a natural log of ``log_columns``.
 
     Pairwise complete like pandas ``DataFrame.corr``: NaN counts as missing.
-    One aggregate pass computes sample covariance and standard deviations
-    for all pairs. ``ln(0) = -inf`` makes every pair with that column NaN, as
-    in numpy; a constant column gives NULL (pandas: NaN) instead of the error
-    ``corr`` raises under ANSI.
+    Each row is expanded into its (column i, column j) value pairs -- a fixed
+    fan-out of c(c+1)/2 set by the schema, not by the data -- and one
+    ``groupBy(x, y)`` computes the numerically stable sample covariance and
+    standard deviations. Partial aggregation collapses every pair to one
+    buffer per task before the shuffle, so the shuffle is c(c+1)/2 rows per
+    task whatever the row count. ``ln(0) = -inf`` makes every pair with that
+    column NaN, as in numpy; a constant column gives NULL (pandas: NaN)
+    instead of the error ``corr`` raises under ANSI.
     Output: (x, y, r) for all ordered pairs, diagonal included.
     """
     cols = list(columns)
@@ -163,30 +167,26 @@ def correlation_long(
             for i, c in enumerate(cols)
         ]
     )
-    aggs = []
-    pairs = []
-    for i in range(len(cols)):
-        for j in range(i, len(cols)):
-            xi, xj = F.col(f"v{i}"), F.col(f"v{j}")
-            both = xi.isNotNull() & xj.isNotNull()
-            xv = F.when(both, xi)
-            yv = F.when(both, xj)
-            # pair-complete, numerically stable moments; -inf inputs give NaN
-            r = F.try_divide(F.covar_samp(xv, yv), F.stddev_samp(xv) * F.stddev_samp(yv))
-            r = F.when(F.isnan(r), r).otherwise(F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
-            name = f"r_{i}_{j}"
-            aggs.append(r.alias(name))
-            pairs.append((i, j, name))
-    wide = prepared.agg(*aggs)
-    args = []
-    count = 0
-    for i, j, name in pairs:
-        args += [F.lit(cols[i]), F.lit(cols[j]), F.col(name)]
-        count += 1
-        if i != j:
-            args += [F.lit(cols[j]), F.lit(cols[i]), F.col(name)]
-            count += 1
-    return wide.select(F.stack(F.lit(count), *args).alias("x", "y", "r"))
+    pairs = [
+        F.struct(F.lit(cols[i]).alias("x"), F.lit(cols[j]).alias("y"), F.col(f"v{i}").alias("a"), F.col(f"v{j}").alias("b"))
+        for i in range(len(cols))
+        for j in range(i, len(cols))
+    ]
+    long = prepared.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    complete = long.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    moments = complete.groupBy("x", "y").agg(
+        F.covar_samp("a", "b").alias("cov"), F.stddev_samp("a").alias("sa"), F.stddev_samp("b").alias("sb")
+    )
+    r = F.try_divide(F.col("cov"), F.col("sa") * F.col("sb"))
+    r = F.when(F.isnan(r), r).otherwise(F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
+    upper = moments.select("x", "y", r.alias("r"))
+    # every column pair appears in the output, also pairs without a complete row
+    grid = df.sparkSession.createDataFrame(
+        [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i, len(cols))], "x string, y string"
+    )
+    upper = grid.join(upper, on=["x", "y"], how="left")
+    lower = upper.where(F.col("x") != F.col("y")).select(F.col("y").alias("x"), F.col("x").alias("y"), "r")
+    return upper.unionByName(lower)
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -242,8 +242,13 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 
 def discrepancy(parts: Sequence[str], total: str) -> Column:
-    """(sum of parts - total) / total with NULL-skipping row sum and the zero rule."""
-    return safe_ratio(row_sum(*parts) - F.col(total).cast("double"), F.col(total))
+    """(sum of parts - total) / total with a NULL-skipping row sum.
+
+    Plain division as in the original (a zero total gives +-inf, 0/0 is
+    missing); the zero rule of ``safe_ratio`` would turn "no parts at all"
+    (x + y = 0) into 0 instead of -1.
+    """
+    return ieee_divide(row_sum(*parts) - F.col(total).cast("double"), F.col(total))
 
 
 # ------------------------------------------------------------ balance
