@@ -178,7 +178,8 @@ def correlation_long(
         F.covar_samp("a", "b").alias("cov"), F.stddev_samp("a").alias("sa"), F.stddev_samp("b").alias("sb")
     )
     r = F.try_divide(F.col("cov"), F.col("sa") * F.col("sb"))
-    r = F.when(F.isnan(r), r).otherwise(F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
+    # clamp rounding overshoot; NULL and NaN pass through (greatest() would skip a NULL)
+    r = F.when(r.isNull() | F.isnan(r), r).otherwise(F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
     upper = moments.select("x", "y", r.alias("r"))
     # every column pair appears in the output, also pairs without a complete row
     grid = df.sparkSession.createDataFrame(
