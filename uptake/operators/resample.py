@@ -47,7 +47,7 @@ def hash_draw(seed: int, replicate, position, n) -> "F.Column":
 
 
 def bootstrap_means(
-    values: DataFrame, value: str, order: str, n_boot: int = 2000, seed: int = 42
+    values: DataFrame, value: str, order: str, n_boot: int = 2000, seed: int = 42, indexed: DataFrame | None = None
 ) -> tuple[DataFrame, int]:
     """Means of ``n_boot`` resamples (with replacement, size n) of ``values[value]``.
 
@@ -58,7 +58,8 @@ def bootstrap_means(
     side while it is small and shuffles both sides otherwise.
     """
     spark = values.sparkSession
-    indexed = dense_index(values.select(order, value), order, "j")
+    if indexed is None:
+        indexed = dense_index(values.select(order, value), order, "j")
     n = indexed.count()
     if n == 0:
         return spark.createDataFrame([], "replicate bigint, mean double"), 0
@@ -80,8 +81,9 @@ def bootstrap_summary(
     The two one-row aggregates (estimate, replicate statistics) are the only
     values fetched to the driver.
     """
-    means, n = bootstrap_means(values, value, order, n_boot, seed)
-    est = values.agg(F.avg(F.col(value).cast("double")).alias("att"))
+    indexed = dense_index(values.select(order, value), order, "j")
+    means, n = bootstrap_means(values, value, order, n_boot, seed, indexed)
+    est = indexed.agg(F.avg(F.col(value).cast("double")).alias("att"))
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
     stats = means.agg(
         F.percentile("mean", lo).alias("ci_lower"),

@@ -11,6 +11,7 @@ from uptake.operators.aggregates import group_median, pivot_sum_fill, smd_table
 from uptake.operators.matching import match_nearest
 from uptake.operators.relational import drop_null, filter_equal
 from uptake.operators.resample import bootstrap_summary
+from uptake.session import cut_lineage
 
 # Area classes, the default covariate exclusions of the two
 # contrasts (education shares), caliper and bootstrap settings.
@@ -188,7 +189,13 @@ def contrast(
     n_boot: int = N_BOOT,
     seed: int = SEED,
 ) -> dict:
-    """Propensity -> match -> balance -> ATT with bootstrap; returns named DataFrames."""
+    """Propensity -> match -> balance -> ATT with bootstrap; returns named DataFrames.
+
+    The units (one row per region) and the outcome table are checkpointed
+    once: the solver and the later steps read them many times.
+    """
+    units = cut_lineage(units)
+    outcome_df = cut_lineage(outcome_df)
     scored, covariates, _ = propensity(units, key, target, exclude)
     scored = scored.withColumn("__treated", F.col(target).cast("boolean")).cache()
     pairs = matched_pairs(scored.withColumnRenamed(key, "__key"), "__key", "__treated", "propensity_score").cache()

@@ -69,3 +69,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="uptake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the reliable checkpoint directory and return the checkpointed frame.
+
+    Used for small tables that iterative solvers and several later jobs read
+    (model inputs, matched units): they are computed once, and a lost
+    executor re-reads the checkpoint instead of recomputing the lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

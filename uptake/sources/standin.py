@@ -16,8 +16,10 @@ installations   lineitem x part at month grain, like monthly drop files:
                 Postcode=l_partkey, State=p_brand, Type from l_returnflag
                 (R residential, A business, N unclassified), Year of ship date;
                 capacity from l_extendedprice (solar: status O, battery: F,
-                other: price*discount) as DECIMAL(38,4), so sums are exact
-                in any order and both engines see identical amounts;
+                other: price*discount) in whole units (cents, cents x
+                percent) held as doubles: every partial sum is an integer
+                below 2^53, so sums are exact in any order and both engines
+                see identical amounts on the fast primitive path;
                 connections from l_quantity (integral doubles, exact), other
                 connections = rows with zero discount
 crosswalk       distinct (l_suppkey, s_name, l_partkey): many-to-many
@@ -53,13 +55,10 @@ SELECT l.l_partkey AS Postcode,
                            WHEN 'A' THEN 'BUSINESS'
                            ELSE 'NoClassification' END AS Type,
        CAST(year(l.l_shipdate) AS INT) AS Year,
-       CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18, 2))) AS DECIMAL(38, 4)) AS TotalCapacity,
-       CAST(SUM(CASE WHEN l.l_linestatus = 'O' THEN CAST(l.l_extendedprice AS DECIMAL(18, 2)) ELSE 0 END)
-            AS DECIMAL(38, 4)) AS SolarCapacity,
-       CAST(SUM(CASE WHEN l.l_linestatus = 'F' THEN CAST(l.l_extendedprice AS DECIMAL(18, 2)) ELSE 0 END)
-            AS DECIMAL(38, 4)) AS BatteryCapacity,
-       CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18, 2)) * CAST(l.l_discount AS DECIMAL(18, 2)))
-            AS DECIMAL(38, 4)) AS OtherCapacity,
+       SUM(CAST(FLOOR(l.l_extendedprice * 100 + 0.5) AS DOUBLE)) AS TotalCapacity,
+       SUM(CASE WHEN l.l_linestatus = 'O' THEN CAST(FLOOR(l.l_extendedprice * 100 + 0.5) AS DOUBLE) ELSE 0.0 END) AS SolarCapacity,
+       SUM(CASE WHEN l.l_linestatus = 'F' THEN CAST(FLOOR(l.l_extendedprice * 100 + 0.5) AS DOUBLE) ELSE 0.0 END) AS BatteryCapacity,
+       SUM(CAST(FLOOR(l.l_extendedprice * 100 + 0.5) AS DOUBLE) * CAST(FLOOR(l.l_discount * 100 + 0.5) AS DOUBLE)) AS OtherCapacity,
        SUM(l.l_quantity) AS TotalDerConnections,
        SUM(CASE WHEN l.l_linestatus = 'O' THEN l.l_quantity ELSE 0.0 END) AS SolarConnections,
        SUM(CASE WHEN l.l_linestatus = 'F' THEN l.l_quantity ELSE 0.0 END) AS BatteryConnections,
@@ -145,14 +144,14 @@ GROUP BY l.l_suppkey
 # '<' and the number of postcodes it covers (dropped on ingest, S3).
 _DROP_MEASURES = (
     ("DerConnections", "SUM(l.l_quantity)"),
-    ("InstalledDerCapacity", "CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18, 2))) AS DECIMAL(38, 4))"),
+    ("InstalledDerCapacity", "SUM(CAST(FLOOR(l.l_extendedprice * 100 + 0.5) AS DOUBLE))"),
     ("SolarConnections", "SUM(CASE WHEN l.l_linestatus = 'O' THEN l.l_quantity ELSE 0.0 END)"),
-    ("SolarCapacity", "CAST(SUM(CASE WHEN l.l_linestatus = 'O' THEN CAST(l.l_extendedprice AS DECIMAL(18, 2)) ELSE 0 END) AS DECIMAL(38, 4))"),
+    ("SolarCapacity", "SUM(CASE WHEN l.l_linestatus = 'O' THEN CAST(FLOOR(l.l_extendedprice * 100 + 0.5) AS DOUBLE) ELSE 0.0 END)"),
     ("BatteryConnections", "SUM(CASE WHEN l.l_linestatus = 'F' THEN l.l_quantity ELSE 0.0 END)"),
-    ("BatteryCapacity", "CAST(SUM(CASE WHEN l.l_linestatus = 'F' THEN CAST(l.l_extendedprice AS DECIMAL(18, 2)) ELSE 0 END) AS DECIMAL(38, 4))"),
-    ("BatteryStorage", "CAST(SUM(CAST(l.l_tax AS DECIMAL(18, 2))) AS DECIMAL(38, 4))"),
+    ("BatteryCapacity", "SUM(CASE WHEN l.l_linestatus = 'F' THEN CAST(FLOOR(l.l_extendedprice * 100 + 0.5) AS DOUBLE) ELSE 0.0 END)"),
+    ("BatteryStorage", "SUM(CAST(FLOOR(l.l_tax * 100 + 0.5) AS DOUBLE))"),
     ("OtherConnections", "CAST(COUNT(CASE WHEN l.l_discount = 0 THEN 1 END) AS DOUBLE)"),
-    ("InstalledOtherderCapacity", "CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18, 2)) * CAST(l.l_discount AS DECIMAL(18, 2))) AS DECIMAL(38, 4))"),
+    ("InstalledOtherderCapacity", "SUM(CAST(FLOOR(l.l_extendedprice * 100 + 0.5) AS DOUBLE) * CAST(FLOOR(l.l_discount * 100 + 0.5) AS DOUBLE))"),
 )
 _DROP_TYPE = (
     "CASE l.l_returnflag WHEN 'R' THEN 'RESIDENTIAL' WHEN 'A' THEN 'BUSINESS' ELSE 'NoClassification' END"
