@@ -1,0 +1,25 @@
+"""The streaming fact equals the batch fact over the same drop files."""
+
+from uptake.plans.star import FACT_MEASURES, fact_by_region
+from uptake.sources import readers
+from uptake.sources.standin import DROP_RAW_HEADERS, StandIn, write_drop_files
+from uptake.streaming.drops import DROP_TO_FACT, start_fact_stream
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stream_matches_batch(spark, tmp_path):
+    v = StandIn(spark, SF)
+    folder = write_drop_files(v["drops"], str(tmp_path / "drops"))
+    raw_header = list(DROP_RAW_HEADERS.values())
+    q = start_fact_stream(spark, folder + "/*", raw_header, v["crosswalk"], str(tmp_path / "ckpt"), name="fact_stream_t")
+    q.awaitTermination(300)
+    streamed = spark.table("fact_stream_t")
+    batch_inst = readers.read_drops(spark, folder).select(
+        "Postcode", "Year", readers.F.col("NmiBusRes").alias("Type"),
+        *[readers.F.col(s).alias(d) for s, d in DROP_TO_FACT.items()],
+    )
+    batch = fact_by_region(batch_inst, v["crosswalk"])
+    cols = ["Lga", "Year", "Type", *FACT_MEASURES]
+    assert sorted(map(tuple, streamed.select(cols).collect()), key=str) == sorted(map(tuple, batch.select(cols).collect()), key=str)
+    q.stop()
