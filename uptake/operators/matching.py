@@ -5,26 +5,31 @@ replacement: a control may serve many targets); keep the pair when the
 distance is strictly below the caliper. Ties: the smaller distance wins, then
 the lower control key.
 
-Plan (O(n log n), no pair enumeration):
+Plan (O(n log n), no pair enumeration, no hot task):
 
 1. Controls are reduced to one row per distinct score (lowest key): equal
    scores are interchangeable except for the key tie-break. Targets with the
    same score share their answer, so they are reduced the same way and the
-   answer is joined back on the score.
-2. Bucket b = floor(score / w) with w a hair wider than the caliper: any
-   control within the caliper of a target in bucket b lies in b-1, b or b+1.
-3. Each bucket receives two sentinels: the highest control of b-1 and the
-   lowest control of b+1 (a join of per-bucket aggregates on b +- 1).
+   answer is joined back on the score. After this step no value can be hot.
+2. Scores are cut into quantile buckets: ``percentile_approx`` over the
+   distinct scores gives at most ``buckets`` bounds (one bounded row to the
+   driver) and Spark ML's ``Bucketizer`` assigns each score by binary
+   search. Buckets are balanced by rank, so no bucket holds a large share
+   of the rows whatever the score distribution.
+3. Each bucket receives two sentinels: the highest control of all earlier
+   buckets and the lowest control of all later ones, carried over the
+   per-bucket summary (at most ``buckets`` rows).
 4. Inside a bucket, a running ``last`` over score ascending gives the nearest
    control at or below each target, a running ``last`` over score descending
-   the nearest at or above. Both frames are running frames (unbounded
-   preceding to current row), which Spark evaluates in one streaming pass.
+   the nearest at or above. Both are running frames (unbounded preceding to
+   current row), which Spark evaluates in one streaming pass.
 """
 
 from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,30 +51,46 @@ def match_nearest(
     score: str,
     caliper_sd: float = 0.1,
     caliper: float | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Return (target_key, control_key, distance) for every matched treated row."""
     spark = df.sparkSession
     h = caliper if caliper is not None else caliper_width(df, score, caliper_sd)
     if h is None or h <= 0:
         return spark.createDataFrame([], PAIR_SCHEMA)
-    width = h * (1 + 1e-9) + 1e-300
-
     base = df.where(F.col(score).isNotNull() & F.col(treated).isNotNull()).select(
         F.col(key).cast("bigint").alias("k"), F.col(score).cast("double").alias("s"), F.col(treated).alias("t")
     )
-    bucket = F.floor(F.col("s") / F.lit(width)).cast("bigint")
-    controls = (
-        base.where(~F.col("t")).groupBy("s").agg(F.min("k").alias("ck")).withColumn("b", bucket)
-    )
-    target_scores = base.where(F.col("t")).select("s").distinct().withColumn("b", bucket)
+    controls = base.where(~F.col("t")).groupBy("s").agg(F.min("k").alias("ck"))
+    target_scores = base.where(F.col("t")).select("s").distinct()
+
+    n_buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = controls.select("s").unionByName(target_scores).agg(F.percentile_approx("s", probs, 10000)).first()[0]
+    splits = [float("-inf")] + sorted({float(c) for c in (cuts or []) if c is not None and math.isfinite(c)}) + [float("inf")]
+    bucketizer = Bucketizer(splits=splits, inputCol="s", outputCol="__q", handleInvalid="keep")
 
-    # sentinels: highest control of the bucket below, lowest of the bucket above
+    def bucketed(frame):
+        return bucketizer.transform(frame).withColumn("b", F.col("__q").cast("int")).drop("__q")
+
+    controls = bucketed(controls)
+    target_scores = bucketed(target_scores)
+
+    # sentinels: nearest control of all earlier / all later buckets, carried
+    # over one row per bucket
     per_bucket = controls.groupBy("b").agg(
         F.max_by(F.struct("s", "ck"), "s").alias("hi"),
         F.min_by(F.struct("s", "ck"), "s").alias("lo"),
     )
-    from_below = per_bucket.select((F.col("b") + 1).alias("b"), F.col("hi.s").alias("s"), F.col("hi.ck").alias("ck"))
-    from_above = per_bucket.select((F.col("b") - 1).alias("b"), F.col("lo.s").alias("s"), F.col("lo.ck").alias("ck"))
+    all_buckets = controls.select("b").unionByName(target_scores.select("b")).distinct()
+    summary = all_buckets.join(per_bucket, on=["b"], how="left")
+    earlier = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = summary.select(
+        "b", F.last("hi", ignorenulls=True).over(earlier).alias("prev"), F.last("lo", ignorenulls=True).over(later).alias("next")
+    )
+    from_below = carried.where(F.col("prev").isNotNull()).select("b", F.col("prev.s").alias("s"), F.col("prev.ck").alias("ck"))
+    from_above = carried.where(F.col("next").isNotNull()).select("b", F.col("next.s").alias("s"), F.col("next.ck").alias("ck"))
 
     rows = (
         controls.select("b", "s", "ck", F.lit(0).alias("kind"))
