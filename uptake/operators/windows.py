@@ -25,13 +25,16 @@ def fill_forward_back(
     the first value of the next region (in key order) that has one. That
     carry is computed on a one-row-per-region summary, never on the panel.
     """
-    ahead = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    behind = Window.partitionBy(key).orderBy(order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Both directions are running frames (unbounded preceding .. current row);
+    # the backward fill reads the order descending. Spark evaluates running
+    # frames in one pass, while "following" frames are re-evaluated per row.
+    ahead = Window.partitionBy(key).orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = Window.partitionBy(key).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = df.select(
         *[
             F.coalesce(
                 F.last(F.col(c), ignorenulls=True).over(ahead),
-                F.first(F.col(c), ignorenulls=True).over(behind),
+                F.last(F.col(c), ignorenulls=True).over(behind),
             ).alias(c)
             if c in columns
             else F.col(c)
@@ -47,9 +50,9 @@ def fill_forward_back(
     )
     # The carry runs over one row per region: bounded by the number of
     # regions, not by the data; ordered by key as the sorted frame is.
-    nxt = Window.orderBy(key).rowsBetween(1, Window.unboundedFollowing)
+    nxt = Window.orderBy(F.col(key).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = firsts.select(
-        key, *[F.first(F.col(c), ignorenulls=True).over(nxt).alias(f"__carry_{c}") for c in columns]
+        key, *[F.last(F.col(c), ignorenulls=True).over(nxt).alias(f"__carry_{c}") for c in columns]
     )
     joined = filled.join(carried, on=[key], how="left")
     return joined.select(

@@ -26,7 +26,7 @@ crosswalk       distinct (l_suppkey, s_name, l_partkey): many-to-many
 crosswalk_partial  crosswalk restricted to parts of size <= 45, so some
                 installation postcodes have no region (unmatched-key audit)
 remoteness      distinct (part, size, class, class area) per line number;
-                class areas tie within a postcode
+                classes 1-4 (half urban), class areas tie within a postcode
 indicators      one long row per order: Measure=o_orderpriority,
                 Lga=o_custkey, Year of order date, ObsValue=o_totalprice
 raw_dwelling    line counts per (supplier, year, line number); '_T' = total
@@ -78,7 +78,7 @@ WHERE p.p_size <= 45
     "remoteness": (("lineitem", "part"), """
 SELECT DISTINCT l.l_partkey AS Postcode,
        CAST(p.p_size AS DOUBLE) AS Area,
-       1 + l.l_linenumber % 7 AS MMM_Class,
+       1 + (l.l_linenumber + p.p_size) % 4 AS MMM_Class,
        CAST(p.p_size * (1 + (l.l_linenumber * p.p_size) % 3) AS DOUBLE) AS MMM_Area
 FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
 """),
