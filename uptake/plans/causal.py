@@ -11,7 +11,7 @@ from uptake.operators.aggregates import group_median, pivot_sum_fill, smd_table
 from uptake.operators.matching import match_nearest
 from uptake.operators.relational import drop_null, filter_equal
 from uptake.operators.resample import bootstrap_summary
-from uptake.session import cut_lineage
+from uptake.session import compact, cut_lineage
 
 # Area classes, the default covariate exclusions of the two
 # contrasts (education shares), caliper and bootstrap settings.
@@ -91,6 +91,7 @@ def propensity(
     target: str,
     exclude: Sequence[str] = (),
     max_iter: int = 1000,
+    materialise: bool = True,
 ) -> tuple[DataFrame, list[str], object]:
     """M7: logistic propensity score on standardised covariates.
 
@@ -99,15 +100,22 @@ def propensity(
     regParam * 0.5 |w|^2, so regParam = 1 / n gives the same optimum; the
     intercept is unpenalised in both. Returns (scored DataFrame, covariates,
     fitted model).
+
+    The input (one row per unit) is checkpointed once unless the caller has
+    already materialised it, and compacted to as few partitions as its size
+    needs: the count, the scaler statistics and every solver iteration then
+    read the small table instead of recomputing its lineage.
     """
+    if materialise:
+        df = cut_lineage(df)
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
     covariates = [c for c in df.columns if c not in set(exclude) | {key, target}]
     data = df.withColumn("__label", F.col(target).cast("double"))
-    data = standardised(data, covariates)
-    n = data.count()
+    n = df.count()
+    data = compact(standardised(data, covariates), n)
     assembled = VectorAssembler(inputCols=covariates, outputCol="__features").transform(data)
     lr = LogisticRegression(
         featuresCol="__features",
@@ -196,7 +204,7 @@ def contrast(
     """
     units = cut_lineage(units)
     outcome_df = cut_lineage(outcome_df)
-    scored, covariates, _ = propensity(units, key, target, exclude)
+    scored, covariates, _ = propensity(units, key, target, exclude, materialise=False)
     scored = scored.withColumn("__treated", F.col(target).cast("boolean")).cache()
     pairs = matched_pairs(scored.withColumnRenamed(key, "__key"), "__key", "__treated", "propensity_score").cache()
     with_outcome = attach_outcome(pairs, outcome_df, key, outcome_col)

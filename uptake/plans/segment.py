@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from uptake.functions.arith import finite_or_null, round_half_even
 from uptake.operators.windows import average_rank
-from uptake.session import cut_lineage
+from uptake.session import compact, cut_lineage
 
 # The five clustering features, the profile columns, k, seed.
 CLUSTER_FEATURES = ("GrowthSolar", "GrowthBattery", "PenSolar", "BSR", "CPDSolar")
@@ -75,7 +75,9 @@ def elbow(df: DataFrame, key: str, features: Sequence[str], ks: Sequence[int] =
     rejects k = 1, so that point is computed directly.
     """
     spark = df.sparkSession
-    data = standardise(cut_lineage(clean_features(df, key, features)), features)
+    clean = cut_lineage(clean_features(df, key, features))
+    n = clean.count()
+    data = standardise(compact(clean, n), features)
     vec = _vectors(data, features).select("features").cache()
     n = vec.count()
     rows = []
@@ -101,8 +103,10 @@ def cluster(
     renumbered by centre (ordered by first feature, then the next), so they
     do not depend on the solver's internal numbering.
     """
-    data = standardise(cut_lineage(clean_features(df, key, features)), features)
-    data = data.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key).sortWithinPartitions(key)
+    clean = cut_lineage(clean_features(df, key, features))
+    n = clean.count()
+    parts = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // 200_000)))
+    data = standardise(clean, features).repartitionByRange(parts, key).sortWithinPartitions(key)
     vec = _vectors(data, features).cache()
     model = _kmeans(k, seed).fit(vec)
     centres = [tuple(float(x) for x in c) for c in model.clusterCenters()]
@@ -126,7 +130,8 @@ def pca(
     from pyspark.ml.functions import vector_to_array
 
     spark = df.sparkSession
-    data = standardise(cut_lineage(clean_features(df, key, features)), features)
+    clean = cut_lineage(clean_features(df, key, features))
+    data = standardise(compact(clean, clean.count()), features)
     vec = _vectors(data, features).cache()
     model = PCA(k=k, inputCol="features", outputCol="__pc").fit(vec)
     pc = model.pc.toArray()  # features x k

@@ -80,3 +80,15 @@ def cut_lineage(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def compact(df, n_rows: int, rows_per_partition: int = 200_000):
+    """Fewer partitions for a small table that an iterative solver scans many times.
+
+    Each solver iteration is one Spark job with one task per partition; a
+    region-level table of a few thousand rows gains nothing from many tasks.
+    ``coalesce`` does not shuffle; large inputs keep their partitioning.
+    """
+    wanted = max(1, -(-n_rows // rows_per_partition))
+    current = df.rdd.getNumPartitions()
+    return df.coalesce(wanted) if wanted < current else df
