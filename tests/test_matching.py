@@ -51,3 +51,19 @@ def test_bootstrap_does_not_depend_on_partitioning(spark):
     ra = sorted((r.replicate, r.mean) for r in a.collect())
     rb = sorted((r.replicate, r.mean) for r in b.collect())
     assert ra == rb
+
+
+def test_poisson_bootstrap_agrees_with_multinomial(spark):
+    from uptake.operators.resample import bootstrap_means_poisson, bootstrap_summary
+
+    df = spark.range(3000).select(F.col("id").alias("k"), ((F.col("id") * 7919) % 1000 / 100.0).alias("v"))
+    m = bootstrap_summary(df, "v", "k", n_boot=400, method="multinomial").first()
+    p = bootstrap_summary(df, "v", "k", n_boot=400, method="poisson").first()
+    assert m.att == p.att and m.n_pairs == p.n_pairs == 3000
+    width_m, width_p = m.ci_upper - m.ci_lower, p.ci_upper - p.ci_lower
+    assert abs(width_p - width_m) / width_m < 0.25
+    assert m.ci_lower < m.att < m.ci_upper and p.ci_lower < p.att < p.ci_upper
+    a = sorted((r.replicate, r.mean) for r in bootstrap_means_poisson(df.repartition(2), "v", "k", 50).collect())
+    b = sorted((r.replicate, r.mean) for r in bootstrap_means_poisson(df.repartition(9), "v", "k", 50).collect())
+    assert [x[0] for x in a] == [x[0] for x in b]
+    assert all(abs(x[1] - y[1]) < 1e-9 for x, y in zip(a, b))

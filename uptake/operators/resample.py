@@ -7,6 +7,8 @@ any engine with md5 reproduces it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,8 +73,59 @@ def bootstrap_means(
     return means, n
 
 
+def _poisson1_cdf(k_max: int = 15) -> list[float]:
+    """P(K <= k) for K ~ Poisson(1), k = 0..k_max, from exp(-1) * sum 1/i!."""
+    out, term, total = [], math.exp(-1.0), 0.0
+    for i in range(k_max + 1):
+        total += term
+        out.append(total)
+        term /= i + 1
+    return out
+
+
+def poisson_weight(seed: int, replicate, key) -> "F.Column":
+    """Poisson(1) weight of row ``key`` in ``replicate`` by inverting the CDF at a hashed uniform."""
+    text = F.concat_ws(":", F.lit(f"p{seed}"), replicate.cast("string"), key.cast("string"))
+    u = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    cdf = _poisson1_cdf()
+    w = F.when(u < F.lit(cdf[0]), F.lit(0))
+    for k in range(1, len(cdf)):
+        w = w.when(u < F.lit(cdf[k]), F.lit(k))
+    return w.otherwise(F.lit(len(cdf)))
+
+
+def bootstrap_means_poisson(
+    values: DataFrame, value: str, order: str, n_boot: int = 2000, seed: int = 42
+) -> DataFrame:
+    """Poisson bootstrap: every row gets a Poisson(1) weight per replicate.
+
+    Same limit distribution as resampling n of n with replacement, but each
+    row produces its own B weights where it lives: no dense index, no join,
+    no shuffle of the n x B draws. Partial aggregation reduces each task to
+    B rows before the only shuffle. This is the path for large n.
+    """
+    reps = F.sequence(F.lit(0), F.lit(n_boot - 1))
+    rows = values.select(F.col(order).alias("__k"), F.col(value).cast("double").alias("v"))
+    weighted = rows.select("__k", "v", F.explode(reps).alias("replicate")).select(
+        "replicate", "v", poisson_weight(seed, F.col("replicate"), F.col("__k")).alias("w")
+    )
+    return weighted.groupBy("replicate").agg(
+        F.try_divide(
+            F.sum(F.when(F.col("v").isNotNull(), F.col("w") * F.col("v"))),
+            F.sum(F.when(F.col("v").isNotNull(), F.col("w"))),
+        ).alias("mean")
+    )
+
+
 def bootstrap_summary(
-    values: DataFrame, value: str, order: str, n_boot: int = 2000, seed: int = 42, level: float = 0.95
+    values: DataFrame,
+    value: str,
+    order: str,
+    n_boot: int = 2000,
+    seed: int = 42,
+    level: float = 0.95,
+    method: str = "auto",
+    max_draws: int = 200_000_000,
 ) -> DataFrame:
     """ATT with percentile CI and two-sided bootstrap p-value, one row.
 
@@ -80,10 +133,26 @@ def bootstrap_summary(
     estimate is positive, >= 0 otherwise); p = 2 * min(q, 1 - q).
     The two one-row aggregates (estimate, replicate statistics) are the only
     values fetched to the driver.
+
+    ``method``: "multinomial" resamples n of n with replacement as the
+    original does (hash draws joined to a dense index); "poisson" uses
+    Poisson(1) weights (no join); "auto" keeps the multinomial scheme while
+    n x n_boot stays within ``max_draws`` and switches to Poisson beyond.
     """
-    indexed = dense_index(values.select(order, value), order, "j")
-    means, n = bootstrap_means(values, value, order, n_boot, seed, indexed)
-    est = indexed.agg(F.avg(F.col(value).cast("double")).alias("att"))
+    if method == "auto":
+        n_rows = values.count()
+        method = "multinomial" if n_rows * n_boot <= max_draws else "poisson"
+    if method == "poisson":
+        values = values.select(order, value)
+        means = bootstrap_means_poisson(values, value, order, n_boot, seed)
+        counted = values.agg(F.avg(F.col(value).cast("double")).alias("att"), F.count(F.lit(1)).alias("n"))
+        row = counted.first()
+        est_value, n = row["att"], row["n"]
+        est = None
+    else:
+        indexed = dense_index(values.select(order, value), order, "j")
+        means, n = bootstrap_means(values, value, order, n_boot, seed, indexed)
+        est = indexed.agg(F.avg(F.col(value).cast("double")).alias("att"))
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
     stats = means.agg(
         F.percentile("mean", lo).alias("ci_lower"),
@@ -91,7 +160,7 @@ def bootstrap_summary(
         F.avg((F.col("mean") <= 0).cast("double")).alias("q_le"),
         F.avg((F.col("mean") >= 0).cast("double")).alias("q_ge"),
     )
-    row_est = est.first()["att"]
+    row_est = est.first()["att"] if est is not None else est_value
     s = stats.first()
     q = None
     if row_est is not None and s["q_le"] is not None:
