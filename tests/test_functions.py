@@ -144,3 +144,20 @@ def test_fanout_gives_full_amount_to_each_region(spark):
     got = {r.Lga: r.TotalCapacity for r in fact_by_region(inst, xw).collect()}
     assert got == {1: 10.0, 2: 10.0}
     assert Decimal  # decimals are exercised by the oracle tests
+
+
+def test_next_non_null_across_partitions(spark):
+    import random
+
+    from uptake.operators.windows import next_non_null
+
+    rnd = random.Random(3)
+    rows = [(k, rnd.random() if rnd.random() < 0.05 else None) for k in range(2000)]
+    df = spark.createDataFrame(rows, "k bigint, v double")
+    got = {r.k: r.next_v for r in next_non_null(df, "k", ["v"]).collect()}
+    expect, nxt = {}, None
+    for k, v in reversed(rows):
+        expect[k] = nxt
+        if v is not None:
+            nxt = v
+    assert got == expect

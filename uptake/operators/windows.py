@@ -48,12 +48,7 @@ def fill_forward_back(
     firsts = df.groupBy(key).agg(
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns]
     )
-    # The carry runs over one row per region: bounded by the number of
-    # regions, not by the data; ordered by key as the sorted frame is.
-    nxt = Window.orderBy(F.col(key).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = firsts.select(
-        key, *[F.last(F.col(c), ignorenulls=True).over(nxt).alias(f"__carry_{c}") for c in columns]
-    )
+    carried = next_non_null(firsts, key, columns, prefix="__carry_")
     joined = filled.join(carried, on=[key], how="left")
     return joined.select(
         *[
@@ -63,6 +58,40 @@ def fill_forward_back(
     )
 
 
+def next_non_null(df: DataFrame, key: str, columns: Sequence[str], prefix: str = "next_") -> DataFrame:
+    """For every row, the first non-null value of each column among the rows with a larger key.
+
+    A distributed suffix scan: rows are range-partitioned by key and
+    checkpointed (stable partition ids), each partition is scanned with a
+    running window, and values crossing a partition boundary come from a
+    per-partition summary (one row per partition). No task sees more than
+    its range partition.
+    """
+    from uptake.session import cut_lineage
+
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(
+        df.select(key, *columns).repartitionByRange(parts, F.col(key)).withColumn("__p", F.spark_partition_id())
+    )
+    later_in_part = Window.partitionBy("__p").orderBy(F.col(key).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.select(
+        key, "__p", *[F.last(F.col(c), ignorenulls=True).over(later_in_part).alias(f"__l_{c}") for c in columns]
+    )
+    # first non-null value of each column in each partition (by key)
+    heads = ranged.groupBy("__p").agg(
+        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(key))).alias(f"__h_{c}") for c in columns]
+    )
+    later_parts = Window.orderBy(F.col("__p").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    boundary = heads.select(
+        "__p", *[F.last(F.col(f"__h_{c}"), ignorenulls=True).over(later_parts).alias(f"__b_{c}") for c in columns]
+    )
+    joined = local.join(F.broadcast(boundary), on=["__p"], how="left")
+    return joined.select(
+        key, *[F.coalesce(F.col(f"__l_{c}"), F.col(f"__b_{c}")).alias(f"{prefix}{c}") for c in columns]
+    )
+
+
 def average_rank(df: DataFrame, value: str, name: str, partition: Sequence[str] = ()) -> DataFrame:
     """Pandas ``rank(method='average')`` ascending, cut to an integer.
 
