@@ -247,13 +247,27 @@ def _order(names) -> list[str]:
 
 
 class StandIn:
-    """Lazily built stand-in views for one session and one scale directory."""
+    """Lazily built stand-in views for one session and one scale directory.
+
+    The views are lazy DataFrames (plans, not data); ``shared`` reuses them
+    across queries of the same session so their SQL is parsed and analysed
+    once. Every action still reads the parquet files.
+    """
+
+    _shared: dict[tuple[int, str], "StandIn"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "StandIn":
+        k = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        if k not in cls._shared:
+            cls._shared[k] = cls(spark, sf_dir)
+        return cls._shared[k]
+
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in BASE_TABLES:
