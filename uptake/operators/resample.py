@@ -139,6 +139,11 @@ def bootstrap_summary(
     Poisson(1) weights (no join); "auto" keeps the multinomial scheme while
     n x n_boot stays within ``max_draws`` and switches to Poisson beyond.
     """
+    from uptake.session import cut_lineage
+
+    # the input (one row per matched unit) is read by the count, the range
+    # sampling, the index and the estimate: materialise it once
+    values = cut_lineage(values.select(order, value))
     if method == "auto":
         n_rows = values.count()
         method = "multinomial" if n_rows * n_boot <= max_draws else "poisson"

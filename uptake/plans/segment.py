@@ -82,13 +82,20 @@ def elbow(df: DataFrame, key: str, features: Sequence[str], ks: Sequence[int] =
     n = vec.count()
     rows = []
     if n:
-        for k in ks:
+        from concurrent.futures import ThreadPoolExecutor
+
+        def fit(k):
             if k == 1:
                 var = data.agg(*[F.var_pop(c).alias(c) for c in features]).first()
-                rows.append((k, float(sum(v or 0.0 for v in var))))
-            elif k <= n:
-                model = _kmeans(k, seed).fit(vec)
-                rows.append((k, float(model.summary.trainingCost) / n))
+                return (k, float(sum(v or 0.0 for v in var)))
+            model = _kmeans(k, seed).fit(vec)
+            return (k, float(model.summary.trainingCost) / n)
+
+        # the fits are independent jobs on one cached table: submit a few at
+        # a time so the scheduler can fill idle cores (results do not depend
+        # on the order; each fit has its own seed)
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            rows = sorted(pool.map(fit, [k for k in ks if k <= n]))
     vec.unpersist()
     return spark.createDataFrame(rows, "k int, distortion double")
 
