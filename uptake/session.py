@@ -35,7 +35,11 @@ def build_session(
     """Create (or reuse) a session with the package defaults.
 
     On a cluster pass ``master=None`` and let spark-submit decide; locally the
-    tests use ``local[8]`` with 8 shuffle partitions.
+    tests use ``local[8]`` with 8 shuffle partitions. For ~100 TB of raw
+    drops, start with about one shuffle partition per 128 MB of the largest
+    shuffled input after map-side aggregation (thousands of partitions) and
+    let AQE coalesce them; ``spark.sql.files.maxPartitionBytes`` keeps its
+    128 MB default, so scan tasks stay a fixed size whatever the input.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
