@@ -49,7 +49,13 @@ def hash_draw(seed: int, replicate, position, n) -> "F.Column":
 
 
 def bootstrap_means(
-    values: DataFrame, value: str, order: str, n_boot: int = 2000, seed: int = 42, indexed: DataFrame | None = None
+    values: DataFrame,
+    value: str,
+    order: str,
+    n_boot: int = 2000,
+    seed: int = 42,
+    indexed: DataFrame | None = None,
+    n: int | None = None,
 ) -> tuple[DataFrame, int]:
     """Means of ``n_boot`` resamples (with replacement, size n) of ``values[value]``.
 
@@ -62,7 +68,8 @@ def bootstrap_means(
     spark = values.sparkSession
     if indexed is None:
         indexed = dense_index(values.select(order, value), order, "j")
-    n = indexed.count()
+    if n is None:
+        n = indexed.count()
     if n == 0:
         return spark.createDataFrame([], "replicate bigint, mean double"), 0
     reps = spark.range(n_boot).withColumnRenamed("id", "replicate")
@@ -144,20 +151,16 @@ def bootstrap_summary(
     # the input (one row per matched unit) is read by the count, the range
     # sampling, the index and the estimate: materialise it once
     values = cut_lineage(values.select(order, value))
+    # one job: the estimate and n
+    row = values.agg(F.avg(F.col(value).cast("double")).alias("att"), F.count(F.lit(1)).alias("n")).first()
+    row_est, n = row["att"], row["n"]
     if method == "auto":
-        n_rows = values.count()
-        method = "multinomial" if n_rows * n_boot <= max_draws else "poisson"
+        method = "multinomial" if n * n_boot <= max_draws else "poisson"
     if method == "poisson":
-        values = values.select(order, value)
         means = bootstrap_means_poisson(values, value, order, n_boot, seed)
-        counted = values.agg(F.avg(F.col(value).cast("double")).alias("att"), F.count(F.lit(1)).alias("n"))
-        row = counted.first()
-        est_value, n = row["att"], row["n"]
-        est = None
     else:
-        indexed = dense_index(values.select(order, value), order, "j")
-        means, n = bootstrap_means(values, value, order, n_boot, seed, indexed)
-        est = indexed.agg(F.avg(F.col(value).cast("double")).alias("att"))
+        indexed = dense_index(values, order, "j")
+        means, n = bootstrap_means(values, value, order, n_boot, seed, indexed, n)
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
     stats = means.agg(
         F.percentile("mean", lo).alias("ci_lower"),
@@ -165,7 +168,6 @@ def bootstrap_summary(
         F.avg((F.col("mean") <= 0).cast("double")).alias("q_le"),
         F.avg((F.col("mean") >= 0).cast("double")).alias("q_ge"),
     )
-    row_est = est.first()["att"] if est is not None else est_value
     s = stats.first()
     q = None
     if row_est is not None and s["q_le"] is not None:
