@@ -61,3 +61,20 @@ def test_read_indicators(spark, tmp_path):
     r = readers.read_indicators(spark, [p]).first()
     assert (r.DataItem, r.Measure, r.Lga, r.Region, r.TimePeriod, r.ObsValue, r.Unit) == (
         "Population", "ERP_P_20", 10050, "Albury", 2021, 55000.0, "Persons")
+
+
+def test_sorted_csv_sink(spark, tmp_path):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from uptake.sources import sinks
+
+    df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("k")).repartition(5)
+    out = str(tmp_path / "sorted")
+    sinks.write_csv(df, out, order_by=["k"])
+    values = []
+    for f in sorted(glob.glob(out + "/part-*.csv")):
+        with open(f) as fh:
+            values += [int(x) for x in fh.read().split()[1:]]
+    assert values == sorted(values) and len(values) == 5000
