@@ -67,9 +67,18 @@ def _split_header(line: str) -> list[str]:
 
 
 def _read_strings(spark: SparkSession, files: Sequence[str], names: Sequence[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    """Read CSV files of one header shape as strings, columns renamed c0..cN by position.
+
+    The schema carries the file's own header names when they are non-empty
+    and unique (ignoring case), so Spark's header check agrees with it;
+    otherwise (an unnamed index column, REGION next to Region) positional
+    names are used from the start.
+    """
+    usable = all(n.strip() for n in names) and len({n.lower() for n in names}) == len(names)
+    fields = list(names) if usable else [f"c{i}" for i in range(len(names))]
+    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     df = spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(list(files))
-    return df
+    return df.toDF(*[f"c{i}" for i in range(len(names))])
 
 
 def read_drops(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -95,7 +104,7 @@ def read_drops(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     for h, files in sorted(by_shape.items()):
         raw_names = _split_header(h)
         names = [normalise_drop_header(n) for n in raw_names]
-        df = _read_strings(spark, files, names)
+        df = _read_strings(spark, files, raw_names)
         df = df.select(*[_na_to_null(f"c{i}").alias(n) for i, n in enumerate(names)])
         df = df.withColumn("Postcode", F.col("Postcode").try_cast("double"))
         df = df.na.drop(how="any")
