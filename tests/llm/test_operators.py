@@ -207,7 +207,7 @@ def test_near_duplicates(which, n, percent, request, small_rows):
 
 
 def test_near_duplicates_by_pivots(small, small_rows, monkeypatch):
-    """No round may try all that is left: pivots alone must find the same components."""
+    """With every group a large one, pivots and what they leave find the same components."""
     monkeypatch.setattr(neardup, "AT_ONCE", 0)
     component = brute.near_components(small_rows, 3, 85)
     got = neardup.near_duplicates(small, 3, 85).collect()

@@ -8,12 +8,17 @@ propose candidate classes, the share of equal registers, corrected for
 registers that agree by chance, rules out those far below the threshold, and
 the rest are confirmed on the full sets of hashes.
 
-Candidates of a band are never paired all with all. A band's group is first
-linked through its smallest member; links so confirmed join components, and
-only members of different components are tried further, round by round with
-another pivot, until the pairs left over are few enough to try at once. So a
-group of thousands of copies costs a row per member and band, while a link
-that the first pivot misses is still found.
+An empty register borrows from another one before banding, so that a band of
+a small set says as much as one of a large set.
+
+Candidates of a band are never emitted all with all. Groups of up to AT_ONCE
+members compare all of them; in a larger one all members meet its smallest
+first, links so confirmed join components, and only members of different
+components are compared further. Comparing is a test inside the join on the
+band, of sizes, of 128 bits of the sketch and, in the last step, of 1024
+parities that bound the difference of two sets from below; a row comes out
+only for a pair that may be linked. So a group of thousands of copies costs a row per member
+and band, while a link that the pivot misses is still found.
 
 A pair at the threshold shares no band with odds of (1 - 0.85^6)^32 = 3e-7, and
 the estimate may miss it by five standard deviations.
@@ -44,8 +49,10 @@ from uptake.llm.words import Index, gram_hashes, mix, word_hashes
 
 REGISTERS, MANTISSA = 256, 10
 BANDS, ROWS = 32, 6
-#: Pairs left over that are tried at once, per class of equal sets.
-AT_ONCE = 8
+#: Members up to which the pairs of a band's group are compared at once.
+AT_ONCE = 64
+#: For each register the order in which it looks for one that is not empty.
+_DONORS = np.stack([np.concatenate(([i], np.random.default_rng(i).permutation(np.delete(np.arange(REGISTERS), i)))) for i in range(REGISTERS)])
 
 
 def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
@@ -74,6 +81,30 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def filled(row: np.ndarray) -> np.ndarray:
+    """Registers with each empty one replaced by the first non-empty one of its fixed order.
+
+    A band of a small set then compares as many smallest hashes as one of a large set.
+    """
+    full = row > 0
+    if full.all() or not full.any():
+        return row
+    empty = np.flatnonzero(~full)
+    out = row.copy()
+    out[empty] = row[_DONORS[empty, full[_DONORS[empty]].argmax(1)]]
+    return out
+
+
+def signature(row: np.ndarray) -> tuple[list[int], int, int]:
+    """Hashes of the bands, and the lowest bits of 128 registers as two integers."""
+    row = filled(row)
+    raw = row[: BANDS * ROWS].tobytes()
+    width = 2 * ROWS
+    bands = [xxhash.xxh64_intdigest(raw[i * width : (i + 1) * width], i) - (1 << 63) for i in range(BANDS)]
+    bits = np.packbits((row[:128] & 1).astype(np.uint8)).view(np.int64)
+    return bands, int(bits[0]), int(bits[1])
+
+
 def _zero_odds(n: np.ndarray) -> np.ndarray:
     """Per set size, the odds of each number of leading zeros of a register (empty left out)."""
     lower = 2.0 ** -np.arange(1, 55)
@@ -91,43 +122,74 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return share - (1 - share) * chance / np.maximum(used, 1), used
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """1024 parities of the number of hashes in a cell, as 16 integers.
+
+    Those of two sets differ in at most as many cells as the sets differ in members.
+    """
+    odd = np.bincount((shingles & np.uint64(1023)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, n_shingles, class (128-bit hash of the set), registers`` per row of ``docs``."""
+    """``doc_id, n_shingles, class (128-bit hash of the set), registers, bands, bits_1, bits_2, odd`` per row of ``docs``."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for s in range(0, part.num_rows, 1024):
                 some = part.slice(s, 1024)
                 sets = shingle_sets(some.column(1).to_pylist(), n)
+                rows = [registers(x) for x in sets]
+                bands, one, two = zip(*map(signature, rows))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()), pa.array([registers(x).tobytes() for x in sets], pa.binary())],
-                    ["doc_id", "n_shingles", "class", "registers"],
+                    [
+                        some.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
+                        pa.array([x.tobytes() for x in rows], pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+                        pa.array([parities(x) for x in sets], pa.list_(pa.int64())),
+                    ],
+                    ["doc_id", "n_shingles", "class", "registers", "bands", "bits_1", "bits_2", "odd"],
                 )
 
     small = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return small.mapInArrow(run, "doc_id long, n_shingles long, class binary, registers binary")
+    return small.mapInArrow(run, "doc_id long, n_shingles long, class binary, registers binary, bands array<long>, bits_1 long, bits_2 long, odd array<long>")
 
 
 def _bands(classes: DataFrame, percent: int) -> DataFrame:
-    """``key, rep``: a row per band that is not empty and size class.
+    """``key, rep``: a row per band and size class.
 
     Sets whose sizes differ by more than the threshold cannot be linked; a set
     goes to its own size class and the next, so two that can share one.
     """
-    width = 2 * ROWS
-    band = lambda i: F.substring(F.col("registers"), i * width + 1, width)
-    empty = F.unhex(F.lit("00" * width))
-    keys = F.array_compact(F.array(*(F.when(band(i) != empty, F.xxhash64(band(i), F.lit(i))) for i in range(BANDS))))
     size = F.floor(F.log(F.col("n")) / math.log(100 / (percent - 0.1)))
-    exploded = classes.select("rep", size.alias("size"), F.explode(keys).alias("band"))
+    exploded = classes.select("rep", size.alias("size"), F.explode("bands").alias("band"))
     return exploded.select("rep", F.explode(F.array(F.xxhash64("band", "size"), F.xxhash64("band", F.col("size") + 1))).alias("key"))
 
 
+def _may_link(percent: int) -> F.Column:
+    """Sizes and lowest bits of two classes (n_1, n_2, ...) allow a link.
+
+    Bits of registers that differ agree half the time; five and a half
+    standard deviations are granted, more for sets with fewer members than bits.
+    """
+    t = percent / 100
+    smaller = F.least("n_1", "n_2")
+    differ = F.bit_count(F.col("bits_1_1").bitwiseXOR(F.col("bits_1_2"))) + F.bit_count(F.col("bits_2_1").bitwiseXOR(F.col("bits_2_2")))
+    odds = (1 - t) / 2
+    granted = 128 * odds + 5.5 * F.sqrt(128 * odds * (1 - odds) * 256 / F.least(smaller, F.lit(256)))
+    return (smaller * 100 >= F.greatest("n_1", "n_2") * percent) & (differ <= granted)
+
+
+def _can_link(percent: int, one: str, two: str, n_one: str, n_two: str) -> F.Column:
+    """Parities leave a link possible: sets at the threshold differ in (1 - t) / (1 + t) of their sizes together."""
+    differ = sum((F.bit_count(F.get(one, F.lit(i)).bitwiseXOR(F.get(two, F.lit(i)))) for i in range(16)), F.lit(0))
+    return differ * (100 + percent) <= (F.col(n_one) + F.col(n_two)) * (100 - percent)
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose estimate does not rule them out."""
-    one = classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
-    two = classes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
-    joined = pairs.join(one, "a").join(two, "b").filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    one = classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"), F.col("odd").alias("odd_a"))
+    two = classes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"), F.col("odd").alias("odd_b"))
+    joined = pairs.join(one, "a").join(two, "b").filter(_can_link(percent, "odd_a", "odd_b", "n_a", "n_b"))
     t = percent / 100
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,35 +226,32 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataF
 def _links(classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Confirmed links between representatives, enough to connect all that candidates connect."""
     bands = stored(_bands(classes, percent), "bands")
-    shared = bands.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").select("key")
-    # members of a band's group that have not been its pivot, with their components
-    rest = stored(bands.join(shared, "key"), "groups").withColumn("component", F.col("rep"))
-    n_classes = classes.count()
-    found = None
-    while True:
-        sizes = stored(rest.groupBy("key", "component").agg(F.count("*").alias("m"), F.min("rep").alias("least")), "sizes")
-        keys = sizes.groupBy("key").agg(F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"), F.min(F.struct("m", "least", "component")).alias("p"), F.count("*").alias("parts")).filter("parts > 1")
-        left = int(keys.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0)
-        if not left:
-            return found
-        two = rest.select("key", F.col("rep").alias("r2"), F.col("component").alias("c2"))
-        last = left <= AT_ONCE * n_classes
-        if last:
-            one = rest.select("key", F.col("rep").alias("r1"), F.col("component").alias("c1"))
-            pairs = one.join(two, "key").filter("r1 < r2 and c1 <> c2")
-        else:
-            # the smallest member of the smallest component meets all members of other components
-            pivots = stored(keys.select("key", F.col("p.least").alias("r1"), F.col("p.component").alias("c1")), "pivots")
-            pairs = pivots.join(two, "key").filter("c1 <> c2")
-        pairs = stored(pairs.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct(), "pairs")
-        links = _confirmed(stored(_likely(pairs, classes, percent), "likely"), docs, n, percent)
-        found = stored(links if found is None else found.unionByName(links).distinct(), "links")
-        if last:
-            return found
-        label = stored(components(found), "labels")
-        done = pivots.select("key", F.col("r1").alias("rep"))
-        kept = rest.drop("component").join(keys.select("key"), "key", "left_semi").join(done, ["key", "rep"], "left_anti")
-        rest = stored(kept.join(label, kept["rep"] == label["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("component")), "rest")
+    shared = bands.groupBy("key").agg(F.count("*").alias("members"), F.min("rep").alias("pivot")).filter("members > 1")
+    facts = classes.select("rep", "n", "bits_1", "bits_2")
+    groups = stored(bands.join(shared, "key").join(facts, "rep"), "groups")
+
+    def side(rows: DataFrame, k: int, *more: str) -> DataFrame:
+        return rows.select("key", *(F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "bits_1", "bits_2", "component", *more)))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs.filter(_may_link(percent)).select(F.least("rep_1", "rep_2").alias("a"), F.greatest("rep_1", "rep_2").alias("b")).distinct(), "pairs")
+        return stored(_confirmed(stored(_likely(pairs, classes, percent), "likely"), docs, n, percent), "links")
+
+    # small groups compare all members, large ones their members with the pivot
+    alone = groups.withColumn("component", F.col("rep"))
+    few = alone.filter(F.col("members") <= AT_ONCE)
+    many = alone.filter(F.col("members") > AT_ONCE)
+    within = side(few, 1).join(side(few, 2), "key").filter("rep_1 < rep_2")
+    star = side(many.filter("rep = pivot"), 1).join(side(many, 2), "key").filter("rep_1 <> rep_2")
+    found = linked(within.unionByName(star))
+    # what is left: members of large groups in different components
+    label = stored(components(found), "labels")
+    left = many.drop("component").join(label, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
+    split = left.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+    left = stored(left.join(split, "key", "left_semi").join(classes.select("rep", "odd"), "rep"), "left")
+    one, two = (side(left, k, "odd") for k in (1, 2))
+    rest = one.join(two, "key").filter(F.expr("rep_1 < rep_2 and component_1 <> component_2") & _can_link(percent, "odd_1", "odd_2", "n_1", "n_2"))
+    return found.unionByName(linked(rest))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -200,14 +259,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     docs = docs.select("doc_id", "text")
     rows = stored(sketches(docs, n), "sketches")
     named = rows.filter("doc_id is not null and n_shingles > 0")
-    classes = stored(named.groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")), "classes")
+    classes = stored(named.groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in ("registers", "bands", "bits_1", "bits_2", "odd"))), "classes")
     # one doc_id with several texts joins their classes
     reps = named.select("doc_id", "class").join(classes.select("class", "rep"), "class")
     found = _links(classes.dropDuplicates(["rep"]), docs, n, percent)
     several = reps.select("doc_id", "rep").distinct().groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-    all_links = several.filter("a <> b").select("a", "b")
-    if found is not None:
-        all_links = all_links.unionByName(found)
+    all_links = several.filter("a <> b").select("a", "b").unionByName(found)
     label = stored(components(all_links), "labels")
     of_class = classes.select("class", "rep").join(label, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("component", "rep").alias("component"))
     linked = rows.drop("registers").join(of_class, "class", "left")
