@@ -72,12 +72,13 @@ def texts_of(rows: pa.RecordBatch | pa.Table, k: int = 0) -> list[bytes]:
 
 
 def planes(a: np.ndarray) -> bytes:
-    """Byte planes of an integer array: the high zero bytes form runs that the shuffle's codec removes."""
-    return a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if len(a) else b""
+    """Byte planes of an integer array, compressed: the high bytes are mostly zero or few values."""
+    return zstandard.compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes(), 1) if len(a) else b""
 
 
 def unplanes(b: bytes, dtype) -> np.ndarray:
     size = np.dtype(dtype).itemsize
+    b = zstandard.decompress(b) if b else b
     return np.frombuffer(b, np.uint8).reshape(size, -1).T.copy().view(dtype).ravel() if b else np.empty(0, dtype)
 
 

@@ -10,7 +10,8 @@ which is proper at every order. States are the histories seen in training. A
 state has an arc per continuation seen, with log10 p, and a failure arc with
 log10(mu / (c(h) + mu)) to the history without its first token; state 0, the
 empty history, has an arc for every token. A text is read once from left to
-right, the state carried along.
+right: each token leaves the state of the longest history seen, by its arc or
+by failure arcs and the arc of the state they lead to.
 
 Counts come from all training documents, through
 :mod:`uptake.llm.batches`: a batch asks for the totals of its own n-grams, so it
@@ -38,7 +39,7 @@ from uptake.llm.batches import answers, ask, ask_rows, bucket_count, text_batche
 from uptake.llm.store import stored
 from uptake.llm.words import BASE, Index, mix, word_hashes
 
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 8 << 20
 #: The start of a text and its end, which no word can be.
 START, END = b"\n", b""
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -99,60 +100,56 @@ class Grams:
 
 
 class Automaton:
-    """The part of the backoff automaton that one batch can reach.
+    """The part of the backoff automaton that one batch can reach, as arrays.
 
-    States: 0, then 1 + w for each word, then 1 + W + b for each pair.
+    A state is a history: none (level 0), a token (level 1) or a pair (level 2).
+    ``arc`` holds, per level, the weight of the arc for each token, pair and
+    triple, NaN where training has not shown it; ``fail`` the weight of the
+    failure arc of each token and pair as a history.
     """
 
     def __init__(self, grams: Grams, count: dict[int, np.ndarray], n: int, v: int, alpha: float, mu: tuple[float, float]):
         c1, c2, c3 = (count.get(k, np.empty(0, np.uint32)).astype(np.float64) for k in (1, 2, 3))
-        words, g = len(c1), grams
-        self.words = words
-        known = c1.copy()
-        known[g.start] = 0  # START is no token
-        p1 = (known + alpha) / (n + alpha * (v + 1))
-        ends = g.flat.size and np.flatnonzero(g.at[2] >= 0)
-        pair_last, pair_first = np.zeros(len(c2), np.int64), np.zeros(len(c2), np.int64)
-        if len(c2):
-            pair_last[g.at[2][ends]] = g.word[ends]
-            pair_first[g.at[2][ends]] = g.word[ends - 1]
-        p2 = (c2 + mu[0] * p1[pair_last]) / (c1[pair_first] + mu[0]) if len(c2) else c2
-        triple_pair, triple_last, triple_tail = (np.zeros(len(c3), np.int64) for _ in range(3))
-        if len(c3):
-            ends = np.flatnonzero(g.at[3] >= 0)
-            triple_pair[g.at[3][ends]] = g.at[2][ends - 1]
-            triple_last[g.at[3][ends]] = g.word[ends]
-            triple_tail[g.at[3][ends]] = g.at[2][ends]
-        p3 = (c3 + mu[1] * p2[triple_tail]) / (c2[triple_pair] + mu[1]) if len(c3) else c3
-        self.base = np.log10(p1)
-        self.known = known > 0
-        #: failure arcs: where to, and at what weight
-        self.fail = [0] + [0] * words + (1 + pair_last).tolist()
-        self.fail_weight = [0.0] + np.log10(mu[0] / (c1 + mu[0])).tolist() + np.log10(mu[1] / (c2 + mu[1])).tolist()
-        # arcs: weight and next state by (state, word); those of state 0 by word
-        self.root = list(zip(self.base.tolist(), np.where(c1 > 0, 1 + np.arange(words), 0).tolist()))
-        seen2, seen3 = np.flatnonzero(c2), np.flatnonzero(c3)
-        with np.errstate(divide="ignore"):
-            w2, w3 = np.log10(p2[seen2]), np.log10(p3[seen3])
-        self.arcs = dict(zip(((1 + pair_first[seen2]) * words + pair_last[seen2]).tolist(), zip(w2.tolist(), (1 + words + seen2).tolist())))
-        self.arcs.update(zip(((1 + words + triple_pair[seen3]) * words + triple_last[seen3]).tolist(), zip(w3.tolist(), (1 + words + triple_tail[seen3]).tolist())))
-
-    def read(self, words: list[int], start: int) -> float:
-        """One traversal: log10 probability of the words after START."""
-        arcs, fail, fail_weight, root, size = self.arcs.get, self.fail, self.fail_weight, self.root, self.words
-        state, total = (1 + start if root[start][1] else 0), 0.0
-        for w in words:
-            arc = arcs(state * size + w)
-            while arc is None:
-                if not state:
-                    arc = root[w]
-                    break
-                total += fail_weight[state]
-                state = fail[state]
-                arc = arcs(state * size + w) if state else root[w]
-            total += arc[0]
-            state = arc[1]
-        return total
+        g = grams
+        token = c1.copy()
+        token[g.start] = 0  # START is no token
+        self.known = token > 0
+        two, three = (np.flatnonzero(g.at[k] >= 0) for k in (2, 3))
+        first, last, head, tail = (np.zeros(len(c), np.int64) for c in (c2, c2, c3, c3))
+        first[g.at[2][two]], last[g.at[2][two]] = g.word[two - 1], g.word[two]
+        head[g.at[3][three]], tail[g.at[3][three]] = g.at[2][three - 1], g.at[2][three]
+        p1 = (token + alpha) / (n + alpha * (v + 1))
+        p2 = (c2 + mu[0] * p1[last]) / (c1[first] + mu[0])
+        p3 = (c3 + mu[1] * p2[tail]) / (c2[head] + mu[1])
+        seen = lambda p, c: np.where(c > 0, np.log10(p), np.nan)
+        self.arc = [np.log10(p1), seen(p2, c2), seen(p3, c3)]
+        self.fail = [np.log10(mu[0] / (c1 + mu[0])), np.log10(mu[1] / (c2 + mu[1]))]
+        self.history = [c1 > 0, c2 > 0]
+        self.grams = g
+
+    def read(self) -> tuple[np.ndarray, np.ndarray]:
+        """One pass over all texts: per token, its base weight and the sum of the arcs it takes.
+
+        The state carried to a token is the longest history seen in training
+        of the two tokens before, so every token's step is known from its
+        place: all steps of the batch are taken side by side.
+        """
+        g = self.grams
+        at1, at2, at3 = g.word, g.at[2], g.at[3]
+        ends = np.flatnonzero(at2 >= 0)
+        base = self.arc[0][at1[ends]]
+        total = base.copy()
+        # state of level 1: the arc of the pair, else the failure arc and on from level 0
+        state = self.history[0][at1[ends - 1]]
+        arc = self.arc[1][at2[ends]]
+        total = np.where(state, np.where(np.isnan(arc), self.fail[0][at1[ends - 1]] + total, arc), total)
+        # state of level 2: the arc of the triple, else the failure arc and on from level 1
+        long = at3[ends] >= 0
+        mine = ends[long]
+        state = self.history[1][at2[mine - 1]]
+        arc = self.arc[2][at3[mine]]
+        total[long] = np.where(state, np.where(np.isnan(arc), self.fail[1][at2[mine - 1]] + total[long], arc), total[long])
+        return base, total
 
 
 def score(docs: DataFrame, alpha: float = 0.1, mu: tuple[float, float] = (200.0, 20.0)) -> DataFrame:
@@ -186,15 +183,16 @@ def score(docs: DataFrame, alpha: float = 0.1, mu: tuple[float, float] = (200.0,
             doc_ids = left.column("doc_id")[k].as_py()
             g = Grams(doc_ids, texts_of(left, k))
             a = Automaton(g, answers(right), tokens, distinct, alpha, mu)
-            for doc_id, held, b, n in zip(doc_ids, g.held, g.begins.tolist(), g.lengths.tolist()):
-                words = g.word[b + 1 : b + n]
-                out["doc_id"].append(doc_id)
-                out["held_out"].append(held)
-                out["n_tokens"].append(n - 1)
-                out["n_known"].append(int(a.known[words].sum()))
-                out["train_tokens"].append(tokens)
-                out["base_score"].append(float(a.base[words].sum()))
-                out["score"].append(a.read(words.tolist(), g.start))
+            base, weight = a.read()
+            known = a.known[g.word[g.at[2] >= 0]]
+            begins = g.begins - np.arange(len(doc_ids))  # without the STARTs before
+            out["doc_id"] += doc_ids
+            out["held_out"] += g.held
+            out["n_tokens"] += (g.lengths - 1).tolist()
+            out["n_known"] += np.add.reduceat(known.astype(np.int64), begins).tolist()
+            out["train_tokens"] += [tokens] * len(doc_ids)
+            out["base_score"] += np.add.reduceat(base, begins).tolist()
+            out["score"] += np.add.reduceat(weight, begins).tolist()
         return pa.Table.from_pydict(out, _ARROW)
 
     mine = replies.filter("batch >= 0")
