@@ -53,6 +53,35 @@ def test_bootstrap_does_not_depend_on_partitioning(spark):
     assert ra == rb
 
 
+def test_one_scheme_at_any_size(spark):
+    """The draws of a larger input are of the same kind: the method is the caller's, never the size's."""
+    import inspect
+
+    import pytest
+
+    from uptake.operators.matching import match_nearest
+    from uptake.operators.resample import bootstrap_means, bootstrap_summary, hash_draw
+
+    assert inspect.signature(bootstrap_summary).parameters["method"].default == "multinomial"
+    for n in (50, 120_000):  # the second lies beyond the former switch at 2,000 replicates
+        df = spark.range(n).selectExpr("id AS k", "CAST(id AS DOUBLE) AS v")
+        means, m = bootstrap_means(df, "v", "k", n_boot=2)
+        want = spark.range(2 * n).select((F.col("id") / n).cast("int").alias("r"), hash_draw(42, (F.col("id") / n).cast("int"), F.col("id") % n, n).alias("j"))
+        got = {r["replicate"]: r["mean"] for r in means.collect()}
+        assert m == n and got == {r["r"]: r["m"] for r in want.groupBy("r").agg(F.avg(F.col("j").cast("double")).alias("m")).collect()}
+    with pytest.raises(ValueError):
+        bootstrap_summary(df, "v", "k", method="auto")
+    empty = spark.createDataFrame([], "k long, t boolean, s double")
+    assert match_nearest(empty, "k", "t", "s", caliper=0.1).count() == 0
+
+
+def test_histogram_leaves_out_infinite_values(spark):
+    from uptake.operators.aggregates import histogram
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),), (float("-inf"),), (float("nan"),), (None,)], "v double")
+    assert [(r.bin, r.n) for r in histogram(df, "v", 5).orderBy("bin").collect()] == [(1, 1), (5, 1)]
+
+
 def test_poisson_bootstrap_agrees_with_multinomial(spark):
     from uptake.operators.resample import bootstrap_means_poisson, bootstrap_summary
 

@@ -14,7 +14,6 @@ operators  generic relational building blocks (filters, joins, aggregates,
            windows, statistics, nearest match, bootstrap)
 plans      the domain compositions: star schema, KPIs, quality checks,
            segmentation and causal contrasts
-streaming  incremental ingestion of new drop files with Structured Streaming
 """
 
 from uptake.session import build_session, ensure_checkpoint_dir  # noqa: F401

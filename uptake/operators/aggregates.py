@@ -227,9 +227,10 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     The bounds are one global aggregate (two numbers fetched to the driver,
     like fitting a model parameter); counting is a partial aggregate per bin.
     Output (bin, lower, upper, n) for non-empty bins, bins numbered 1..bins.
+    NULL, NaN and infinite values have no bin and are left out.
     """
     v = F.col(column).cast("double")
-    vals = df.select(v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    vals = df.select(v.alias("__v")).where(F.abs("__v") < float("inf"))
     lo, hi = vals.agg(F.min("__v"), F.max("__v")).first()
     if lo is None:
         return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, n bigint")

@@ -66,7 +66,9 @@ def match_nearest(
 
     n_buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = controls.select("s").unionByName(target_scores).agg(F.percentile_approx("s", probs, 10000)).first()[0]
+    cuts = controls.select("s").unionByName(target_scores).agg(F.percentile_approx("s", probs, max(10_000, 10 * n_buckets))).first()[0]
+    if not cuts:
+        return spark.createDataFrame([], PAIR_SCHEMA)
     splits = [float("-inf")] + sorted({float(c) for c in (cuts or []) if c is not None and math.isfinite(c)}) + [float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="s", outputCol="__q", handleInvalid="keep")
 

@@ -43,9 +43,9 @@ def dense_index(df: DataFrame, order: str, name: str = "idx", partitions: int |
 
 
 def hash_draw(seed: int, replicate, position, n) -> "F.Column":
-    """Index in [0, n) for draw ``position`` of ``replicate``: md5 of 'seed:replicate:position'."""
+    """Index in [0, n) for draw ``position`` of ``replicate``: 60 bits of the md5 of 'seed:replicate:position'."""
     text = F.concat_ws(":", F.lit(str(seed)), replicate.cast("string"), position.cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % F.lit(n)
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint") % F.lit(n)
 
 
 def bootstrap_means(
@@ -61,7 +61,7 @@ def bootstrap_means(
 
     Returns (DataFrame(replicate, mean), n). NULL values are drawn like any
     other row and skipped by the mean, as pandas does. The n * n_boot draws
-    are generated in Spark (replicate rows exploded into positions) and
+    are a range that Spark splits over its tasks, and are
     joined to the indexed values on the drawn index; AQE broadcasts the value
     side while it is small and shuffles both sides otherwise.
     """
@@ -72,15 +72,14 @@ def bootstrap_means(
         n = indexed.count()
     if n == 0:
         return spark.createDataFrame([], "replicate bigint, mean double"), 0
-    reps = spark.range(n_boot).withColumnRenamed("id", "replicate")
-    draws = reps.select("replicate", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("pos"))
+    draws = spark.range(n * n_boot).select(F.expr(f"id div {n}").alias("replicate"), (F.col("id") % n).alias("pos"))
     draws = draws.select("replicate", hash_draw(seed, F.col("replicate"), F.col("pos"), n).alias("j"))
     joined = draws.join(indexed.select("j", F.col(value).cast("double").alias("v")), on=["j"], how="inner")
     means = joined.groupBy("replicate").agg(F.avg("v").alias("mean"))
     return means, n
 
 
-def _poisson1_cdf(k_max: int = 15) -> list[float]:
+def _poisson1_cdf(k_max: int = 18) -> list[float]:
     """P(K <= k) for K ~ Poisson(1), k = 0..k_max, from exp(-1) * sum 1/i!."""
     out, term, total = [], math.exp(-1.0), 0.0
     for i in range(k_max + 1):
@@ -91,9 +90,13 @@ def _poisson1_cdf(k_max: int = 15) -> list[float]:
 
 
 def poisson_weight(seed: int, replicate, key) -> "F.Column":
-    """Poisson(1) weight of row ``key`` in ``replicate`` by inverting the CDF at a hashed uniform."""
+    """Poisson(1) weight of row ``key`` in ``replicate`` by inverting the CDF at a hashed uniform.
+
+    The uniform has 52 bits; the table leaves out a tail of P(K > 18) = 3e-18,
+    less than one step of it.
+    """
     text = F.concat_ws(":", F.lit(f"p{seed}"), replicate.cast("string"), key.cast("string"))
-    u = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    u = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
     cdf = _poisson1_cdf()
     w = F.when(u < F.lit(cdf[0]), F.lit(0))
     for k in range(1, len(cdf)):
@@ -131,8 +134,7 @@ def bootstrap_summary(
     n_boot: int = 2000,
     seed: int = 42,
     level: float = 0.95,
-    method: str = "auto",
-    max_draws: int = 200_000_000,
+    method: str = "multinomial",
 ) -> DataFrame:
     """ATT with percentile CI and two-sided bootstrap p-value, one row.
 
@@ -142,20 +144,19 @@ def bootstrap_summary(
     values fetched to the driver.
 
     ``method``: "multinomial" resamples n of n with replacement as the
-    original does (hash draws joined to a dense index); "poisson" uses
-    Poisson(1) weights (no join); "auto" keeps the multinomial scheme while
-    n x n_boot stays within ``max_draws`` and switches to Poisson beyond.
+    original does (hash draws joined to a dense index), whatever n is;
+    "poisson" uses Poisson(1) weights (no join) where the caller asks for it.
     """
     from uptake.session import cut_lineage
 
+    if method not in ("multinomial", "poisson"):
+        raise ValueError(f"unknown method {method!r}")
     # the input (one row per matched unit) is read by the count, the range
     # sampling, the index and the estimate: materialise it once
     values = cut_lineage(values.select(order, value))
     # one job: the estimate and n
     row = values.agg(F.avg(F.col(value).cast("double")).alias("att"), F.count(F.lit(1)).alias("n")).first()
     row_est, n = row["att"], row["n"]
-    if method == "auto":
-        method = "multinomial" if n * n_boot <= max_draws else "poisson"
     if method == "poisson":
         means = bootstrap_means_poisson(values, value, order, n_boot, seed)
     else:

@@ -81,6 +81,8 @@ def elbow(df: DataFrame, key: str, features: Sequence[str], ks: Sequence[int] =
     vec = _vectors(data, features).select("features").cache()
     n = vec.count()
     rows = []
+    if n and max(ks, default=0) > n:
+        raise ValueError(f"{max(ks)} clusters asked of {n} rows")
     if n:
         from concurrent.futures import ThreadPoolExecutor
 
@@ -95,7 +97,7 @@ def elbow(df: DataFrame, key: str, features: Sequence[str], ks: Sequence[int] =
         # a time so the scheduler can fill idle cores (results do not depend
         # on the order; each fit has its own seed)
         with ThreadPoolExecutor(max_workers=4) as pool:
-            rows = sorted(pool.map(fit, [k for k in ks if k <= n]))
+            rows = sorted(pool.map(fit, ks))
     vec.unpersist()
     return spark.createDataFrame(rows, "k int, distortion double")
 

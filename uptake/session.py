@@ -62,7 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value
     always wins. Only a local session without it (tests) gets a fresh
-    scratch folder.
+    scratch folder; a cluster without it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -70,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="uptake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
