@@ -85,9 +85,9 @@ def repeat_words(words: Column, n_words: Column, n: int = 5) -> Column:
     return F.when(n_words >= n + 1, _let(hashes, counted)).otherwise(F.lit(0)).cast("long")
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one struct column ``quality`` of all measures."""
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+def measures(text: Column) -> Column:
+    """All measures of a text, as one struct."""
+    t = F.coalesce(text.cast("string"), F.lit(""))
     words = F.filter(F.split(t, _SPACE), lambda w: w != "")
     dense = F.regexp_replace(t, _SPACE, "")
     lines = F.filter(F.split(t, "\n"), lambda x: F.regexp_replace(x, _SPACE, "") != "")
@@ -108,36 +108,38 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             ),
         )
 
-    return docs.withColumn("quality", _let(words, of))
+    return _let(words, of)
 
 
-def verdict(rules=RULES, column: str = "quality") -> Column:
-    """Names of the rules that reject the text."""
-    m = lambda name: F.col(f"{column}.{name}")
+def verdict(m: Column, rules=RULES) -> Column:
+    """Names of the rules that reject a text of measures ``m``."""
 
     def broken(r: Rule) -> Column:
-        base = m(r.per) if r.per else F.lit(1)
-        test = m(r.measure) > base * r.above if r.above is not None else m(r.measure) < base * r.below
-        return F.when(test & (m("n_words") >= r.from_words), F.lit(r.name))
+        base = m[r.per] if r.per else F.lit(1)
+        test = m[r.measure] > base * r.above if r.above is not None else m[r.measure] < base * r.below
+        return F.when(test & (m["n_words"] >= r.from_words), F.lit(r.name))
 
     return F.array_compact(F.array(*(broken(r) for r in rules)))
 
 
+def base_failed(m: Column) -> Column:
+    return (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
+
+
 def score(docs: DataFrame) -> DataFrame:
     """Measures, ``base_failed``, rejecting rules and ``kept`` per document."""
-    n, repeat = F.col("quality.n_words"), F.col("quality.n_repeat_words")
-    failed = (n < 10) | (100 * repeat > 20 * n)
+    m = F.col("quality")
     return (
-        measures(docs.select("doc_id", "text"))
-        .select("doc_id", "quality.*", failed.alias("base_failed"), verdict().alias("rejected_by"))
+        docs.select("doc_id", measures(F.col("text")).alias("quality"))
+        .select("doc_id", "quality.*", base_failed(m).alias("base_failed"), verdict(m).alias("rejected_by"))
         .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
     )
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents that no rule rejects, with their columns."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    marked = measures(docs.select(F.struct(*columns).alias("doc"), F.col("text").cast("string").alias("judged")), "judged")
-    n, repeat = F.col("quality.n_words"), F.col("quality.n_repeat_words")
-    good = (n >= 10) & (100 * repeat <= 20 * n) & (F.size(verdict()) == 0)
-    return marked.filter(good).select("doc.*")
+    """The documents that no rule rejects, with their columns.
+
+    The measures are bound inside the condition: a filter over a measured
+    column would be pushed to the scan with a copy of all measures per rule.
+    """
+    return docs.filter(_let(measures(F.col("text")), lambda m: ~base_failed(m) & (F.size(verdict(m)) == 0)))
