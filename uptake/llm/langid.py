@@ -11,9 +11,9 @@ is the softmax of the negative entropies at a temperature fitted to the
 labelled sample, and a text whose entropy lies far outside what the winner's
 own sample texts show is marked ``rejected``.
 
-The models are learned from at most SAMPLE labelled texts per language, chosen
-by a hash of doc_id, whole; no language keeps more than MAX_GRAMS n-grams of
-an order, the most frequent. These bounds also bound the broadcast.
+The models are learned from about SAMPLE labelled texts per language (all where
+there are fewer), drawn by a hash of doc_id, whole; of an order a language keeps
+its most frequent MAX_GRAMS n-grams. These bounds also bound the broadcast.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 equal entropies go to the first language by name; repeated rows are judged
@@ -33,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uptake.llm.store import stored
@@ -188,13 +188,31 @@ class Models:
 
 
 def _sample(docs: DataFrame) -> DataFrame:
-    """At most SAMPLE labelled rows per language, every fifth for calibration."""
+    """``doc_id, lang, text, role``: about SAMPLE labelled rows per language, a fifth of them for calibration.
+
+    A row is drawn when the hash of its doc_id is under its language's share,
+    so no language is sorted or gathered in one task. Languages of a few rows
+    (``role`` 2) teach and calibrate with all of them.
+    """
     teachers = docs.filter("doc_id is not null and text is not null and lang is not null")
     teachers = teachers.filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = teachers.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE)
-    chosen = chosen.groupBy("doc_id", "lang").agg(F.min("rank").alias("rank"))
-    return stored(teachers.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"), F.min("rank").alias("rank")), "teachers")
+    sizes = teachers.groupBy("lang").count()
+    draw = (F.shiftrightunsigned(F.xxhash64(F.lit("draw"), "doc_id"), 11).cast("double") / F.lit(float(1 << 53))) * F.col("count") < SAMPLE
+    fifth = (F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(5)) == 0).cast("int")
+    role = F.when(F.col("count") < 25, 2).otherwise(fifth)
+    return stored(teachers.join(sizes, "lang").filter(draw).select("doc_id", "lang", "text", role.alias("role")).distinct(), "teachers")
+
+
+def _frequent(grams: DataFrame) -> DataFrame:
+    """The n-grams at or above the count at which their language's number of n-grams reaches MAX_GRAMS; equal counts stay or go together."""
+    least: dict[str, int] = {}
+    room: dict[str, int] = {}
+    for lang, n, kinds in grams.groupBy("lang", "n").agg(F.count("*").alias("kinds")).orderBy("lang", F.desc("n")).collect():
+        room[lang] = room.get(lang, MAX_GRAMS) - kinds
+        if room[lang] >= 0 or lang not in least:
+            least[lang] = n
+    rows = grams.sparkSession.createDataFrame(sorted(least.items()), "lang string, least long")
+    return grams.join(rows, "lang").filter("n >= least").select("lang", "gram", "n")
 
 
 def learn(docs: DataFrame) -> Models:
@@ -214,11 +232,10 @@ def learn(docs: DataFrame) -> Models:
                         grams[w[i : i + ORDER]] += c
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(list(grams)), pa.array(list(grams.values()), pa.int64())], ["lang", "gram", "n"])
 
-    grams = sample.filter("rank % 5 <> 0 or rank < 5").select("lang", "text").mapInArrow(count, "lang string, gram string, n long")
-    grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    most = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    grams = sample.filter("role <> 1").select("lang", "text").mapInArrow(count, "lang string, gram string, n long")
+    grams = stored(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     counts: dict[str, dict[str, int]] = {}
-    for lang, gram, n in grams.withColumn("place", F.row_number().over(most)).filter(F.col("place") <= MAX_GRAMS).select("lang", "gram", "n").collect():
+    for lang, gram, n in _frequent(grams).orderBy("lang", F.desc("n"), "gram").collect():
         counts.setdefault(lang, {})[gram] = n
     models = Models.learn(counts)
     if not models.langs:
@@ -230,7 +247,7 @@ def learn(docs: DataFrame) -> Models:
             e = shared.value.entropies(part.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(e.tolist(), pa.list_(pa.float64()))], ["lang", "entropy"])
 
-    judged = sample.filter("rank % 5 = 0 or rank < 5").select("lang", "text").mapInArrow(judge, "lang string, entropy array<double>").collect()
+    judged = sample.filter("role <> 0").select("lang", "text").mapInArrow(judge, "lang string, entropy array<double>").collect()
     judged = [(lang, np.array(e)) for lang, e in judged if lang in counts and not np.isnan(e).any()]
     own = {x: [e[i] for lang, e in judged if lang == x] for i, x in enumerate(models.langs)}
     models.limit = np.array([np.mean(own[x]) + 4 * max(np.std(own[x]), 0.05) if own[x] else np.inf for x in models.langs])
