@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uptake.llm import binary, chat, decontam, langid, lm, neardup, packing, pii, quality, substring
+from uptake.llm.oracles import ORACLE  # noqa: F401
 
 END_ID = 1
 
@@ -78,5 +79,3 @@ QUERIES = {
         op7_substring_dedup, op8_minhash_near_dedup, op9_pii, op10_decontamination,
     )
 }
-
-ORACLE: dict[str, str] = {}
