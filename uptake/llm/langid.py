@@ -191,8 +191,9 @@ def _sample(docs: DataFrame) -> DataFrame:
     """``doc_id, lang, text, role``: about SAMPLE labelled rows per language, a fifth of them for calibration.
 
     A row is drawn when the hash of its doc_id is under its language's share,
-    so no language is sorted or gathered in one task. Languages of a few rows
-    (``role`` 2) teach and calibrate with all of them.
+    so no language is sorted or gathered in one task. The sizes are broadcast, a
+    row per language, as the models are, which hold a column per language.
+    Languages of a few rows (``role`` 2) teach and calibrate with all of them.
     """
     teachers = docs.filter("doc_id is not null and text is not null and lang is not null")
     teachers = teachers.filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2)
@@ -200,7 +201,7 @@ def _sample(docs: DataFrame) -> DataFrame:
     draw = (F.shiftrightunsigned(F.xxhash64(F.lit("draw"), "doc_id"), 11).cast("double") / F.lit(float(1 << 53))) * F.col("count") < SAMPLE
     fifth = (F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(5)) == 0).cast("int")
     role = F.when(F.col("count") < 25, 2).otherwise(fifth)
-    return stored(teachers.join(sizes, "lang").filter(draw).select("doc_id", "lang", "text", role.alias("role")).distinct(), "teachers")
+    return stored(teachers.join(F.broadcast(sizes), "lang").filter(draw).select("doc_id", "lang", "text", role.alias("role")).distinct(), "teachers")
 
 
 def _frequent(grams: DataFrame) -> DataFrame:
