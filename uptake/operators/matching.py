@@ -33,6 +33,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from uptake.session import cut_lineage
+
 PAIR_SCHEMA = "target_key bigint, control_key bigint, distance double"
 
 
@@ -58,9 +60,13 @@ def match_nearest(
     h = caliper if caliper is not None else caliper_width(df, score, caliper_sd)
     if h is None or h <= 0:
         return spark.createDataFrame([], PAIR_SCHEMA)
-    base = df.where(F.col(score).isNotNull() & F.col(treated).isNotNull()).select(
-        F.col(key).cast("bigint").alias("k"), F.col(score).cast("double").alias("s"), F.col(treated).alias("t")
+    # read by the bounds, the buckets and the targets: computed once
+    base = cut_lineage(
+        df.where(F.col(score).isNotNull() & F.col(treated).isNotNull()).select(
+            F.col(key).alias("k"), F.col(score).cast("double").alias("s"), F.col(treated).alias("t")
+        )
     )
+    key_type = base.schema["k"].dataType
     controls = base.where(~F.col("t")).groupBy("s").agg(F.min("k").alias("ck"))
     target_scores = base.where(F.col("t")).select("s").distinct()
 
@@ -98,7 +104,7 @@ def match_nearest(
         controls.select("b", "s", "ck", F.lit(0).alias("kind"))
         .unionByName(from_below.withColumn("kind", F.lit(0)))
         .unionByName(from_above.withColumn("kind", F.lit(0)))
-        .unionByName(target_scores.select("b", "s", F.lit(None).cast("bigint").alias("ck"), F.lit(1).alias("kind")))
+        .unionByName(target_scores.select("b", "s", F.lit(None).cast(key_type).alias("ck"), F.lit(1).alias("kind")))
     )
     ctrl_s = F.when(F.col("kind") == 0, F.col("s"))
     ctrl_k = F.when(F.col("kind") == 0, F.col("ck"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- filters
@@ -95,6 +95,17 @@ def rows_of_flagged_keys(df: DataFrame, flags: DataFrame, keys: Sequence[str]) -
     return df.join(flags, cond, "left_semi")
 
 
+def rows_of_keys_with(df: DataFrame, flag: Column, keys: Sequence[str]) -> DataFrame:
+    """J7 where the flags are rows of ``df`` itself: all rows of every key group with a row that meets ``flag``.
+
+    One pass, NULL keys form groups like any other. For groups of a bounded
+    size (a region and year holds a row per type), since a group is one
+    window partition; :func:`rows_of_flagged_keys` has no such bound.
+    """
+    any_flag = F.max(F.coalesce(flag, F.lit(False))).over(Window.partitionBy(*keys))
+    return df.withColumn("__flag", any_flag).where("__flag").drop("__flag")
+
+
 def unmatched_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``left`` that do not occur in ``right``."""
     return left.select(key).distinct().join(right.select(key), on=[key], how="left_anti")

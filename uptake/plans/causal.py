@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from uptake.operators.aggregates import group_median, pivot_sum_fill, smd_table
 from uptake.operators.matching import match_nearest
 from uptake.operators.relational import drop_null, filter_equal
-from uptake.operators.resample import bootstrap_summary
-from uptake.session import compact, cut_lineage
+from uptake.operators.resample import bootstrap_summary, dense_index
+from uptake.plans.segment import standardise
+from uptake.session import MODEL_PARTITIONS, cut_lineage, ensure_checkpoint_dir
 
 # Area classes, the default covariate exclusions of the two
 # contrasts (education shares), caliper and bootstrap settings.
@@ -55,9 +57,29 @@ def outcome(fact: DataFrame, customer_type: str, measure: str) -> DataFrame:
 
 
 def quantile_cuts(df: DataFrame, column: str, low: float = 0.33, high: float = 0.67) -> DataFrame:
-    """Exact interpolated quantiles (numpy ``linear``) as one row (low, high)."""
+    """Exact interpolated quantiles (numpy ``linear``) as one row (low, high).
+
+    The values are range-sorted and numbered, and the rows around each rank
+    are picked by number: at most four rows reach the driver, and no task
+    holds all values. NULL values are left out; without any value both are NULL.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     c = F.col(column).cast("double")
-    return df.agg(F.percentile(c, low).alias("low"), F.percentile(c, high).alias("high"))
+    ranked = dense_index(df.select(c.alias("v")).where(F.col("v").isNotNull()), "v", "j")
+    n = ranked.count()
+    if n == 0:
+        return spark.createDataFrame([(None, None)], "low double, high double")
+    places = [(n - 1) * q for q in (low, high)]
+    wanted = {f(p) for p in places for f in (math.floor, math.ceil)}
+    at = {r["j"]: r["v"] for r in ranked.where(F.col("j").isin(sorted(wanted))).collect()}
+
+    def interpolated(p: float) -> float:
+        below, above = math.floor(p), math.ceil(p)
+        a, b = at[below], at[above]
+        return a if a == b else (above - p) * a + (p - below) * b
+
+    return spark.createDataFrame([tuple(interpolated(p) for p in places)], "low double, high double")
 
 
 def trim_tails(
@@ -68,6 +90,8 @@ def trim_tails(
     ``compat=True`` reproduces the original's second test (``>= low``), which
     keeps every row.
     """
+    # read by the cuts and by the filter: computed once
+    df = cut_lineage(df)
     cuts = quantile_cuts(df, column, low, high).first()
     lo, hi = cuts["low"], cuts["high"]
     if lo is None:
@@ -78,13 +102,6 @@ def trim_tails(
     return kept.withColumn("treated", c <= F.lit(lo))
 
 
-def standardised(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """M1 on covariates (population std; constant column -> 0)."""
-    from uptake.plans.segment import standardise
-
-    return standardise(df, columns)
-
-
 def propensity(
     df: DataFrame,
     key: str,
@@ -102,8 +119,8 @@ def propensity(
     fitted model).
 
     The input (one row per unit) is checkpointed once unless the caller has
-    already materialised it, and compacted to as few partitions as its size
-    needs: the count, the scaler statistics and every solver iteration then
+    already materialised it, and dealt to MODEL_PARTITIONS by key whatever its
+    size: the count, the scaler statistics and every solver iteration then
     read the small table instead of recomputing its lineage.
     """
     if materialise:
@@ -115,7 +132,7 @@ def propensity(
     covariates = [c for c in df.columns if c not in set(exclude) | {key, target}]
     data = df.withColumn("__label", F.col(target).cast("double"))
     n = df.count()
-    data = compact(standardised(data, covariates), n)
+    data = standardise(data, covariates).repartition(MODEL_PARTITIONS, key)
     assembled = VectorAssembler(inputCols=covariates, outputCol="__features").transform(data)
     lr = LogisticRegression(
         featuresCol="__features",
@@ -205,8 +222,9 @@ def contrast(
     units = cut_lineage(units)
     outcome_df = cut_lineage(outcome_df)
     scored, covariates, _ = propensity(units, key, target, exclude, materialise=False)
-    scored = scored.withColumn("__treated", F.col(target).cast("boolean")).cache()
-    pairs = matched_pairs(scored.withColumnRenamed(key, "__key"), "__key", "__treated", "propensity_score").cache()
+    # written to the checkpoint folder, so no cache outlives the call
+    scored = cut_lineage(scored.withColumn("__treated", F.col(target).cast("boolean")))
+    pairs = cut_lineage(matched_pairs(scored.withColumnRenamed(key, "__key"), "__key", "__treated", "propensity_score"))
     with_outcome = attach_outcome(pairs, outcome_df, key, outcome_col)
     return {
         "scored": scored,

@@ -20,7 +20,7 @@ from uptake.operators.aggregates import (
     share_of,
     table_counts,
 )
-from uptake.operators.relational import rows_of_flagged_keys, unmatched_keys
+from uptake.operators.relational import rows_of_keys_with, unmatched_keys
 
 # Sector and size columns of the economic dimension, the
 # tolerance of the parts-versus-total check.
@@ -32,8 +32,7 @@ TOLERANCE = 0.05
 
 def flagged_rows(fact: DataFrame, label: str, keys: Sequence[str] = ("Lga", "Year")) -> DataFrame:
     """Every fact row of a (region, year) that has a row typed ``label``."""
-    flags = fact.where(F.col("Type") == label)
-    return rows_of_flagged_keys(fact, flags, list(keys))
+    return rows_of_keys_with(fact, F.col("Type") == label, list(keys))
 
 
 def type_completeness(fact: DataFrame, label: str, n_types: int = 3) -> DataFrame:

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uptake.functions.arith import finite_or_null, round_half_even
+from uptake.operators.relational import label_and_union, lookup
 from uptake.operators.windows import average_rank
-from uptake.session import compact, cut_lineage
+from uptake.session import cut_lineage, solver_input
 
 # The five clustering features, the profile columns, k, seed.
 CLUSTER_FEATURES = ("GrowthSolar", "GrowthBattery", "PenSolar", "BSR", "CPDSolar")
@@ -76,8 +77,7 @@ def elbow(df: DataFrame, key: str, features: Sequence[str], ks: Sequence[int] =
     """
     spark = df.sparkSession
     clean = cut_lineage(clean_features(df, key, features))
-    n = clean.count()
-    data = standardise(compact(clean, n), features)
+    data = solver_input(standardise(clean, features), key)
     vec = _vectors(data, features).select("features").cache()
     n = vec.count()
     rows = []
@@ -107,17 +107,15 @@ def cluster(
 ) -> DataFrame:
     """M3: K-means labels per key on standardised features.
 
-    Input rows are range-partitioned and sorted by key so the k-means||
-    initialisation sees the same partitions on every run. Labels are
+    Input rows are dealt by the hash of the key to a fixed number of partitions
+    and sorted, so the k-means|| initialisation sees the same on every run. Labels are
     renumbered by centre (ordered by first feature, then the next), so they
     do not depend on the solver's internal numbering.
     """
     clean = cut_lineage(clean_features(df, key, features))
-    n = clean.count()
-    parts = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // 200_000)))
-    data = standardise(clean, features).repartitionByRange(parts, key).sortWithinPartitions(key)
-    vec = _vectors(data, features).cache()
+    vec = _vectors(solver_input(standardise(clean, features), key), features).cache()
     model = _kmeans(k, seed).fit(vec)
+    vec.unpersist()
     centres = [tuple(float(x) for x in c) for c in model.clusterCenters()]
     order = sorted(range(len(centres)), key=lambda i: centres[i])
     relabel = {old: new for new, old in enumerate(order)}
@@ -140,8 +138,7 @@ def pca(
 
     spark = df.sparkSession
     clean = cut_lineage(clean_features(df, key, features))
-    data = standardise(compact(clean, clean.count()), features)
-    vec = _vectors(data, features).cache()
+    vec = _vectors(solver_input(standardise(clean, features), key), features)
     model = PCA(k=k, inputCol="features", outputCol="__pc").fit(vec)
     pc = model.pc.toArray()  # features x k
     signs = []
@@ -198,6 +195,6 @@ def segment_metrics(
     (The original merged the business metrics with the residential labels;
     pass ``bus_clusters=res_clusters`` to reproduce that.)
     """
-    r = residential.join(res_clusters, on=[key], how="left").withColumn("Type", F.lit("RESIDENTIAL"))
-    b = business.join(bus_clusters, on=[key], how="left").withColumn("Type", F.lit("BUSINESS"))
-    return r.unionByName(b, allowMissingColumns=True)
+    return label_and_union(
+        {"RESIDENTIAL": lookup(residential, res_clusters, key), "BUSINESS": lookup(business, bus_clusters, key)}
+    )

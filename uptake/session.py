@@ -88,13 +88,11 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def compact(df, n_rows: int, rows_per_partition: int = 200_000):
-    """Fewer partitions for a small table that an iterative solver scans many times.
+#: Partitions of a table that a solver iterates over. Fixed, so that seeded
+#: starts, which depend on the partitions, are the same at any size and on any cluster.
+MODEL_PARTITIONS = 4
 
-    Each solver iteration is one Spark job with one task per partition; a
-    region-level table of a few thousand rows gains nothing from many tasks.
-    ``coalesce`` does not shuffle; large inputs keep their partitioning.
-    """
-    wanted = max(1, -(-n_rows // rows_per_partition))
-    current = df.rdd.getNumPartitions()
-    return df.coalesce(wanted) if wanted < current else df
+
+def solver_input(df, key: str, partitions: int = MODEL_PARTITIONS):
+    """Deal ``df`` by the hash of ``key`` to a given number of partitions, sorted, so a rerun sees the same rows in the same order."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)

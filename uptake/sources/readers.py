@@ -7,9 +7,9 @@ the job. Headers are cleaned in Python on the column names only.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,19 +159,24 @@ def read_indicators(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _positional(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
-    headers = header_lines(spark, path)
-    first = headers[sorted(headers)[0]]
-    raw_names = _split_header(first)
-    return _read_strings(spark, sorted(headers), raw_names), raw_names
+def _positional(spark: SparkSession, path: str, columns: Callable[[list[str]], list[Column]]) -> DataFrame:
+    """Files grouped by their own header, each group read once; ``columns`` maps a header to the columns wanted."""
+    shapes: dict[str, list[str]] = {}
+    for f, h in sorted(header_lines(spark, path).items()):
+        shapes.setdefault(h, []).append(f)
+    frames = []
+    for h, files in shapes.items():
+        raw_names = _split_header(h)
+        frames.append(_read_strings(spark, files, raw_names).select(*columns(raw_names)))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def read_dwellings(spark: SparkSession, path: str) -> DataFrame:
     """Dwelling counts; the header holds ``REGION`` and ``Region``, so columns are taken by position."""
-    df, raw = _positional(spark, path)
-    pos = {name: i for i, name in enumerate(raw)}
-    cols = [F.col(f"c{pos[src]}").alias(dst) for src, dst in DWELLING_COLUMNS]
-    out = df.select(*cols)
+    out = _positional(spark, path, lambda raw: [F.col(f"c{raw.index(src)}").alias(dst) for src, dst in DWELLING_COLUMNS])
     return out.select(
         "Type",
         F.col("LGA_2021").try_cast("double").cast("bigint").alias("LGA_2021"),
@@ -183,7 +188,7 @@ def read_dwellings(spark: SparkSession, path: str) -> DataFrame:
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
     """Region code, region name, postcode by position; codes coerced to nullable integers."""
-    df, _ = _positional(spark, path)
+    df = _positional(spark, path, lambda raw: [F.col(f"c{i}") for i in range(3)])
     return df.select(
         F.col("c0").try_cast("double").cast("bigint").alias("Lga"),
         F.col("c1").alias("Region"),
@@ -193,9 +198,13 @@ def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
 
 def read_remoteness(spark: SparkSession, path: str) -> DataFrame:
     """Drop the unnamed index column, name the rest by position."""
-    df, raw = _positional(spark, path)
-    start = 1 if raw and raw[0].strip() in ("", "Unnamed: 0") else 0
-    c = [f"c{i}" for i in range(start, start + 4)]
+    c = ["c0", "c1", "c2", "c3"]
+
+    def named(raw: list[str]) -> list[Column]:
+        start = 1 if raw and raw[0].strip() in ("", "Unnamed: 0") else 0
+        return [F.col(f"c{i + start}").alias(x) for i, x in enumerate(c)]
+
+    df = _positional(spark, path, named)
     return df.select(
         F.col(c[0]).try_cast("double").cast("int").alias("Postcode"),
         F.col(c[1]).try_cast("double").alias("Area"),

@@ -254,7 +254,7 @@ class StandIn:
     once. Every action still reads the parquet files.
     """
 
-    _shared: dict[tuple[int, str], "StandIn"] = {}
+    _shared: dict[tuple[str, str, str], "StandIn"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -263,7 +263,10 @@ class StandIn:
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "StandIn":
-        k = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        app = spark.sparkContext.applicationId
+        for old in [k for k in cls._shared if k[0] != app]:
+            del cls._shared[old]
+        k = (app, spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"))
         if k not in cls._shared:
             cls._shared[k] = cls(spark, sf_dir)
         return cls._shared[k]
