@@ -52,3 +52,24 @@ def test_profile_means_match_group_means(spark):
 
     prof = {r.Cluster: r for r in c.QUERIES["cluster_profile"](spark, SF).collect()}
     assert sum(r.LGA_count for r in prof.values()) == c.StandIn(spark, SF)["features"].count()
+
+
+def test_distributed_quantiles_match_numpy(spark):
+    from uptake.plans import causal
+
+    for values in ([], [3.0], [1.0, 2.0], [5.0, 1.0, 1.0, 9.0, 2.5, None], [float(i * 37 % 101) for i in range(101)]):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        got = causal.quantile_cuts(df, "x").first()
+        known = [v for v in values if v is not None]
+        want = [np.quantile(known, q) for q in (0.33, 0.67)] if known else [None, None]
+        assert got["low"] == want[0] or abs(got["low"] - want[0]) < 1e-12
+        assert got["high"] == want[1] or abs(got["high"] - want[1]) < 1e-12
+
+
+def test_flagged_groups_with_null_keys(spark):
+    from uptake.plans.quality import flagged_rows
+
+    rows = [(None, 1, "A"), (None, 1, "B"), (1, 1, "B"), (1, 2, "A"), (1, 2, None), (2, 2, None)]
+    df = spark.createDataFrame(rows, "Lga int, Year int, Type string")
+    got = sorted(map(str, flagged_rows(df, "A").collect()))
+    assert got == sorted(map(str, spark.createDataFrame([rows[i] for i in (0, 1, 3, 4)], df.schema).collect()))

@@ -96,3 +96,12 @@ def test_poisson_bootstrap_agrees_with_multinomial(spark):
     b = sorted((r.replicate, r.mean) for r in bootstrap_means_poisson(df.repartition(9), "v", "k", 50).collect())
     assert [x[0] for x in a] == [x[0] for x in b]
     assert all(abs(x[1] - y[1]) < 1e-9 for x, y in zip(a, b))
+
+
+def test_keys_of_text(spark):
+    rows = [("t1", True, 0.5), ("c2", False, 0.25), ("c1", False, 0.75)]
+    df = spark.createDataFrame(rows, "key string, treated boolean, score double")
+    got = match_nearest(df, "key", "treated", "score", caliper=0.5)
+    assert [(r.target_key, r.control_key) for r in got.collect()] == [("t1", "c1")]
+    none = match_nearest(df.limit(0), "key", "treated", "score", caliper=0.5)
+    assert none.count() == 0 and none.schema.simpleString() == got.schema.simpleString()

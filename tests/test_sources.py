@@ -43,6 +43,16 @@ def test_read_dwellings_by_position(spark, tmp_path):
     }
 
 
+def test_positional_readers_follow_each_header(spark, tmp_path):
+    d = tmp_path / "dwellings"
+    _write(str(d / "a.csv"), "DWTSTRD,REGION,Region,TIME_PERIOD,OBS_VALUE\n_T,10050,Albury,2021,100\n")
+    _write(str(d / "b.csv"), "Region,OBS_VALUE,DWTSTRD,TIME_PERIOD,REGION\nBega,60,H,2022,10051\n")
+    rows = readers.read_dwellings(spark, str(d)).collect()
+    assert {(r.Type, r.LGA_2021, r.Region, r.TIME_PERIOD, r.OBS_VALUE) for r in rows} == {
+        ("_T", 10050, "Albury", 2021, 100.0), ("H", 10051, "Bega", 2022, 60.0)
+    }
+
+
 def test_read_crosswalk_and_remoteness(spark, tmp_path):
     p = str(tmp_path / "cw.csv")
     _write(p, "LGA_CODE,LGA_NAME,POSTCODE\n10050,Albury,2640\nx,Nowhere,2641\n")

@@ -35,8 +35,6 @@ from pyspark.sql import functions as F
 
 from uptake.session import cut_lineage
 
-PAIR_SCHEMA = "target_key bigint, control_key bigint, distance double"
-
 
 def caliper_width(df: DataFrame, score: str, caliper_sd: float) -> float | None:
     """Caliper = ``caliper_sd`` x sample std of all scores (one global aggregate)."""
@@ -57,16 +55,17 @@ def match_nearest(
 ) -> DataFrame:
     """Return (target_key, control_key, distance) for every matched treated row."""
     spark = df.sparkSession
+    key_type = df.schema[key].dataType.simpleString()
+    none = f"target_key {key_type}, control_key {key_type}, distance double"
     h = caliper if caliper is not None else caliper_width(df, score, caliper_sd)
     if h is None or h <= 0:
-        return spark.createDataFrame([], PAIR_SCHEMA)
+        return spark.createDataFrame([], none)
     # read by the bounds, the buckets and the targets: computed once
     base = cut_lineage(
         df.where(F.col(score).isNotNull() & F.col(treated).isNotNull()).select(
             F.col(key).alias("k"), F.col(score).cast("double").alias("s"), F.col(treated).alias("t")
         )
     )
-    key_type = base.schema["k"].dataType
     controls = base.where(~F.col("t")).groupBy("s").agg(F.min("k").alias("ck"))
     target_scores = base.where(F.col("t")).select("s").distinct()
 
@@ -74,7 +73,7 @@ def match_nearest(
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = controls.select("s").unionByName(target_scores).agg(F.percentile_approx("s", probs, max(10_000, 10 * n_buckets))).first()[0]
     if not cuts:
-        return spark.createDataFrame([], PAIR_SCHEMA)
+        return spark.createDataFrame([], none)
     splits = [float("-inf")] + sorted({float(c) for c in (cuts or []) if c is not None and math.isfinite(c)}) + [float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="s", outputCol="__q", handleInvalid="keep")
 
