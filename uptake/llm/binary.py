@@ -193,8 +193,8 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, chun
     records.select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", chunks_per_file).text(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """One row per document in the files: place, count and checksum, with its ids as little-endian u32."""
+def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """One row per document in the files: place, count and checksum; ``with_ids`` adds its ids as little-endian u32."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -204,14 +204,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     before = np.cumsum(n) - n
                     raw = memoryview(ids.astype("<u4").tobytes())
                     pieces = [raw[4 * s : 4 * (s + k)] for s, k in zip(before.tolist(), n.tolist())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(n), shard, np.int32)), pa.array(first + before), pa.array(docs["doc_id"].astype(np.int64), mask=docs["has_id"] == 0),
-                         pa.array(n), pa.array([zlib.crc32(x) for x in pieces], pa.int64()), pa.array([bytes(x) for x in pieces], pa.binary())],
-                        ["part", "local_start", "doc_id", "n_tokens", "ids_crc32", "ids"],
-                    )
+                    columns = [
+                        pa.array(np.full(len(n), shard, np.int32)), pa.array(first + before), pa.array(docs["doc_id"].astype(np.int64), mask=docs["has_id"] == 0),
+                        pa.array(n), pa.array([zlib.crc32(x) for x in pieces], pa.int64()),
+                    ]
+                    names = ["part", "local_start", "doc_id", "n_tokens", "ids_crc32"]
+                    if with_ids:
+                        columns, names = [*columns, pa.array([bytes(x) for x in pieces], pa.binary())], [*names, "ids"]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("content").mapInArrow(run, "part int, local_start long, doc_id long, n_tokens long, ids_crc32 long, ids binary")
+    schema = "part int, local_start long, doc_id long, n_tokens long, ids_crc32 long"
+    return files.select("content").mapInArrow(run, schema + (", ids binary" if with_ids else ""))
 
 
 def token_index(docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFrame:
@@ -219,7 +223,7 @@ def token_index(docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFr
     spark = docs.sparkSession
     path = new_folder(spark, "ids")
     write(docs, path, tokenizer_path, end_id)
-    rows = stored(read(spark, path).drop("ids"), "index")
+    rows = stored(read(spark, path, with_ids=False), "index")
     bases = partition_bases(rows)
     table = spark.createDataFrame(list(bases.items()) or [(0, 0)], "part int, base long")
     return rows.join(F.broadcast(table), "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
