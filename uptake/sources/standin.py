@@ -139,6 +139,28 @@ GROUP BY l.l_suppkey
 }
 
 
+# Views with gaps, so that filters on rare labels, missing regions and zero
+# totals have rows to keep and rows to drop.
+VIEWS["installations_gaps"] = (("installations",), """
+SELECT Postcode, State, Year, TotalCapacity, SolarCapacity, BatteryCapacity, OtherCapacity,
+       TotalDerConnections, SolarConnections, BatteryConnections, OtherConnections,
+       CASE WHEN Type = 'NoClassification' AND Postcode % 499 <> 0 THEN 'RESIDENTIAL'
+            WHEN Type = 'BUSINESS' AND Postcode % 487 = 0 THEN '(blank)'
+            ELSE Type END AS Type
+FROM {installations}
+""")
+VIEWS["economy_gaps"] = (("economy",), """
+SELECT Lga, Year,
+       CASE WHEN (Lga + Year) % 5 = 0 THEN 0.0 ELSE TotalBusinesses END AS TotalBusinesses,
+       CASE WHEN (Lga + Year) % 10 = 0 THEN 0.0 ELSE PrimaryIndustry END AS PrimaryIndustry,
+       CASE WHEN (Lga + Year) % 10 = 0 THEN 0.0 WHEN Lga % 7 = 0 THEN NULL ELSE SecondaryIndustry END AS SecondaryIndustry,
+       CASE WHEN (Lga + Year) % 10 = 0 THEN 0.0 ELSE TertiaryIndustry END AS TertiaryIndustry,
+       CASE WHEN (Lga + Year) % 10 = 0 THEN 0.0 ELSE QuaternaryIndustry END AS QuaternaryIndustry,
+       SmallBusinesses, MediumBusinesses, LargeBusinesses
+FROM {economy}
+""")
+
+
 # The monthly drop files: one row per (postcode, state, type, year, month)
 # plus, per (state, type, year, month), an aggregate row whose postcode is
 # '<' and the number of postcodes it covers (dropped on ingest, S3).
