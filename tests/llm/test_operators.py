@@ -148,6 +148,13 @@ def test_quality_keeps_good_documents(spark):
     assert not wrong, wrong[:3]
 
 
+def test_quality_stage_keeps_languages_without_stop_words(spark):
+    prose = lambda words: " ".join(f"{words[i % len(words)]}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120))
+    texts = {3: prose(["слово", "жизнь", "город"]), 4: prose(["źdźbło", "książka", "łąka"]), 5: prose(["zork", "blim"]), 6: prose(["zork", "blim"])}
+    docs = spark.createDataFrame([(i, t, {6: "id"}.get(i)) for i, t in texts.items()], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in quality.keep(docs).collect()} == {3, 4, 6}
+
+
 def test_language_id(spark, hostile):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     true = {r.doc_id: r.lang for r in docs.collect()}

@@ -11,7 +11,7 @@ columns are ignored by the measures and kept by :func:`keep`.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,7 @@ class Rule:
     above: float | None = None
     below: float | None = None
     from_words: int = 0
+    unless_foreign: bool = False
 
 
 #: The threshold table. Ratios are written as products, so that no rule divides.
@@ -49,6 +50,15 @@ RULES = (
     Rule("duplicate_lines", "n_dup_lines", "n_lines", above=0.30),
 )
 
+#: The table of :func:`keep`: a lack of stop words is held only against texts that may be in a language of the list.
+KEEP_RULES = tuple(replace(r, unless_foreign=r.name == "stop_words") for r in RULES)
+
+#: Languages of ``STOP_WORDS``, and the characters that are no letters beyond theirs.
+LANGUAGES = ("en", "fr", "de", "es")
+_NO_FOREIGN = r"[\P{L}A-Za-zÀ-ÂÄÆ-ÏÑÓÔÖÙ-Üß-âäæ-ïñóôöù-üÿŒœŸªº]+"
+#: Share of such letters from which a text is in another language; a foreign name in a long text stays below it.
+FOREIGN = 0.01
+
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -85,8 +95,8 @@ def repeat_words(words: Column, n_words: Column, n: int = 5) -> Column:
     return F.when(n_words >= n + 1, _let(hashes, counted)).otherwise(F.lit(0)).cast("long")
 
 
-def measures(text: Column) -> Column:
-    """All measures of a text, as one struct."""
+def measures(text: Column, for_keep: bool = False) -> Column:
+    """All measures of a text, as one struct; those that only ``KEEP_RULES`` ask for with ``for_keep``."""
     t = F.coalesce(text.cast("string"), F.lit(""))
     words = F.filter(F.split(t, _SPACE), lambda w: w != "")
     dense = F.regexp_replace(t, _SPACE, "")
@@ -105,18 +115,23 @@ def measures(text: Column) -> Column:
                 repeat_words(w, v["n"]).alias("n_repeat_words"),
                 F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
                 F.length(F.regexp_replace(v["dense"], r"\P{Lu}+", "")).cast("long").alias("n_upper"),
+                *((F.length(F.regexp_replace(v["dense"], _NO_FOREIGN, "")).cast("long").alias("n_foreign"),) if for_keep else ()),
             ),
         )
 
     return _let(words, of)
 
 
-def verdict(m: Column, rules=RULES) -> Column:
-    """Names of the rules that reject a text of measures ``m``."""
+def verdict(m: Column, rules=RULES, lang: Column | None = None) -> Column:
+    """Names of the rules that reject a text of measures ``m``, in the language ``lang`` if that is known."""
 
     def broken(r: Rule) -> Column:
         base = m[r.per] if r.per else F.lit(1)
         test = m[r.measure] > base * r.above if r.above is not None else m[r.measure] < base * r.below
+        if r.unless_foreign:
+            test = test & (m["n_foreign"] <= m["word_chars"] * FOREIGN)
+            if lang is not None:
+                test = test & F.coalesce(F.lower(lang).isin(*LANGUAGES), F.lit(True))
         return F.when(test & (m["n_words"] >= r.from_words), F.lit(r.name))
 
     return F.array_compact(F.array(*(broken(r) for r in rules)))
@@ -137,9 +152,10 @@ def score(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents that no rule rejects, with their columns.
+    """The documents that no rule of ``KEEP_RULES`` rejects, with their columns; ``lang``, where there is one, names the language.
 
     The measures are bound inside the condition: a filter over a measured
     column would be pushed to the scan with a copy of all measures per rule.
     """
-    return docs.filter(_let(measures(F.col("text")), lambda m: ~base_failed(m) & (F.size(verdict(m)) == 0)))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else None
+    return docs.filter(_let(measures(F.col("text"), for_keep=True), lambda m: ~base_failed(m) & (F.size(verdict(m, KEEP_RULES, lang)) == 0)))
