@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from uptake.llm import binary, chat, decontam, langid, lm, neardup, packing, pii, quality, substring
+from uptake.llm import binary, chat, decontam, langid, lm, neardup, packing, pii, quality, substring, tokens
 from uptake.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -65,6 +65,16 @@ def test_token_ids(which, request, small_rows):
     same([(r.doc_id, r.n_tokens, r.ids_crc32) for r in got], [(i, len(x), zlib.crc32(x.astype("<u4").tobytes())) for i, x in brute.token_ids(rows, tokenizer_path())])
 
 
+def test_token_ids_of_capitals_with_marks():
+    """Letters that compose with a mark in lower case only."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    texts = [f"x {c}amza {c.lower()}amza A{c} the {c}" for c in ("H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a")] + ["\u00c9t\u00e9 Plain, WORDS I\u0307 \u0130"]
+    got = tokens.WordTokenizer(tokenizer_path()).encode(texts)
+    assert [x.tolist() for x in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_simple8b_round_trip():
     r = np.random.default_rng(3)
     cases = [[], [0], [7], [0] * 1000, list(range(5000)), r.integers(0, 49408, 20001), [2**60 - 1, 2**63, 15 << 60, 0, 2**59] * 999]

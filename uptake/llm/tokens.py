@@ -29,7 +29,8 @@ class WordTokenizer:
     A word goes through the tokenizer's normaliser, pre-tokenizer and merges
     once per worker; lower-case Latin letters with ASCII marks behind, which
     those two leave alone but for the cut between them, go to the merges at
-    once. Texts with ``<|``, which could hold the string of a special token,
+    once. Only ASCII words are lower-cased before that: the normaliser composes
+    letters and marks first, and some compose in lower case only. Texts with ``<|``, which could hold the string of a special token,
     go through the tokenizer whole.
     """
 
@@ -52,6 +53,7 @@ class WordTokenizer:
 
     def _ids(self, word: str) -> list[int]:
         merge = self.tokenizer.model.tokenize
+        word = word.lower() if word.isascii() else word
         if plain := self.PLAIN.fullmatch(word):
             letters, marks = plain.groups()
             ids = [t.id for t in merge(letters.translate(self.alphabet))] if letters else []
@@ -75,7 +77,7 @@ class WordTokenizer:
             if _MARK in raw:
                 numbered.append(None)
                 continue
-            words = raw.lower().split()
+            words = raw.split()
             try:
                 numbered.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
             except KeyError:
