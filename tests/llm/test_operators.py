@@ -239,6 +239,24 @@ def test_drop_copies(hostile):
     assert Counter(ids) == Counter([None] + [i for i, c in component.items() if i == c])
 
 
+@pytest.mark.parametrize("at_once", [64, 0])
+def test_one_id_with_several_texts(spark, monkeypatch, at_once):
+    """Two and three different texts of one doc_id, each with a near copy of another doc_id."""
+    monkeypatch.setattr(neardup, "AT_ONCE", at_once)
+    r = np.random.default_rng(3)
+    text = [" ".join(f"w{x}" for x in r.integers(0, 10**6, 200)) for _ in range(7)]
+    near = [f"{t} more" for t in text]
+    rows = [(1, text[0]), (1, text[1]), (5, text[2]), (5, text[3]), (5, text[4]), (5, ""), (6, near[3]), (7, near[0]), (8, near[1]), (9, near[2]), (10, near[4])]
+    rows += [(3, text[5]), (4, near[5]), (4, text[6]), (11, near[6]), (4, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    component = brute.near_components(rows, 5, 80)
+    got = neardup.near_duplicates(docs, 5, 80).collect()
+    same(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got), ((i, len(brute.shingles(t, 5)), component[i], component[i] == i) for i, t in rows))
+    # no text is dropped but for one that a kept text is near to; the copies of the larger ids go
+    left = neardup.drop_copies(docs, 5, 80).collect()
+    same(left, [*rows[:6], rows[11], rows[13], rows[15]])
+
+
 def test_estimate_follows_jaccard():
     r = np.random.default_rng(5)
     pool = r.integers(0, 2**63, 4000).astype(np.uint64) * np.uint64(2) + np.uint64(1)

@@ -25,8 +25,10 @@ the estimate may miss it by five standard deviations.
 
 Defined results: a text without words has no shingles and is linked with
 nothing, a text of fewer than ``n`` words has its word sequence as one; a
-repeated row is linked with its like, and all rows of one doc_id are kept or
-dropped together; a null doc_id cannot be named, so its row is linked with
+repeated row is linked with its like. Links are found between texts: one
+doc_id may stand on rows with different texts. :func:`near_duplicates` names
+documents by doc_id, so its rows have one component and are kept or dropped
+together; :func:`drop_copies` judges each of its texts. A null doc_id cannot be named, so its row is linked with
 nothing, has a null component and is kept; texts are read whole; an empty table gives no rows;
 other columns are ignored by :func:`near_duplicates` and kept by
 :func:`drop_copies`.
@@ -131,8 +133,13 @@ def parities(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def class_of(shingles: np.ndarray) -> bytes:
+    """128-bit hash of a set."""
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, n_shingles, class (128-bit hash of the set), registers, bands, bits_1, bits_2, odd`` per row of ``docs``."""
+    """``doc_id, text_key, n_shingles, class (128-bit hash of the set), registers, bands, bits_1, bits_2, odd`` per row of ``docs``."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -143,15 +150,16 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
                 bands, one, two = zip(*map(signature, rows))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        some.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
+                        some.column(0), some.column(2), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(class_of, sets)), pa.binary()),
                         pa.array([x.tobytes() for x in rows], pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                         pa.array([parities(x) for x in sets], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "class", "registers", "bands", "bits_1", "bits_2", "odd"],
+                    ["doc_id", "text_key", "n_shingles", "class", "registers", "bands", "bits_1", "bits_2", "odd"],
                 )
 
-    small = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return small.mapInArrow(run, "doc_id long, n_shingles long, class binary, registers binary, bands array<long>, bits_1 long, bits_2 long, odd array<long>")
+    text = F.col("text").cast("string")
+    small = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    return small.mapInArrow(run, "doc_id long, text_key long, n_shingles long, class binary, registers binary, bands array<long>, bits_1 long, bits_2 long, odd array<long>")
 
 
 def _bands(classes: DataFrame, percent: int) -> DataFrame:
@@ -204,10 +212,12 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(wanted, "rep", "left_semi")
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold, read from the first text of each class."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(classes.select("rep", "first"), "rep").select("rep", "first.*")
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    texts = texts.join(wanted, ["doc_id", "text_key"]).select("rep", "text")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -235,7 +245,7 @@ def _links(classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
 
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs.filter(_may_link(percent)).select(F.least("rep_1", "rep_2").alias("a"), F.greatest("rep_1", "rep_2").alias("b")).distinct(), "pairs")
-        return stored(_confirmed(stored(_likely(pairs, classes, percent), "likely"), docs, n, percent), "links")
+        return stored(_confirmed(stored(_likely(pairs, classes, percent), "likely"), classes, docs, n, percent), "links")
 
     # small groups compare all members, large ones their members with the pivot
     alone = groups.withColumn("component", F.col("rep"))
@@ -254,28 +264,55 @@ def _links(classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     return found.unionByName(linked(rest))
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row: the smallest doc_id reachable by links of at least ``percent``."""
-    docs = docs.select("doc_id", "text")
+def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of the rows, their classes, and links between the numbers (``rep``) of classes.
+
+    A class is numbered where it is stored, so that it is named by its set and
+    not by a doc_id; ``first`` is the row with its smallest doc_id.
+    """
     rows = stored(sketches(docs, n), "sketches")
     named = rows.filter("doc_id is not null and n_shingles > 0")
-    classes = stored(named.groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in ("registers", "bands", "bits_1", "bits_2", "odd"))), "classes")
-    # one doc_id with several texts joins their classes
-    reps = named.select("doc_id", "class").join(classes.select("class", "rep"), "class")
-    found = _links(classes.dropDuplicates(["rep"]), docs, n, percent)
-    several = reps.select("doc_id", "rep").distinct().groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-    all_links = several.filter("a <> b").select("a", "b").unionByName(found)
-    label = stored(components(all_links), "labels")
-    of_class = classes.select("class", "rep").join(label, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("component", "rep").alias("component"))
-    linked = rows.drop("registers").join(of_class, "class", "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), own)
-    return linked.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    facts = (F.first(c).alias(c) for c in ("registers", "bands", "bits_1", "bits_2", "odd"))
+    grouped = named.groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.first("n_shingles").alias("n"), *facts)
+    classes = stored(grouped.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    return rows, classes, _links(classes, docs, n, percent)
+
+
+def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``class, rep, first, component`` per class."""
+    label = stored(components(links), "labels")
+    return classes.select("class", "rep", "first").join(label, F.col("rep") == F.col("node"), "left").select("class", "rep", "first", F.coalesce("component", "rep").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row: the smallest doc_id reachable by links of at least ``percent``."""
+    rows, classes, found = _linked(docs.select("doc_id", "text"), n, percent)
+    # one doc_id with several texts joins all their classes
+    reps = rows.filter("doc_id is not null and n_shingles > 0").select("doc_id", "class").join(classes.select("class", "rep"), "class").select("doc_id", "rep")
+    several = reps.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b").select("doc_id", "a")
+    joined = reps.join(several, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b"))
+    of_class = _components(classes, found.unionByName(joined))
+    least = of_class.groupBy("component").agg(F.min("first.doc_id").alias("least"))
+    of_class = stored(of_class.join(least, "component").select("class", "rep", "least"), "least")
+    # a row without words goes with the other rows of its doc_id
+    bare = rows.filter("doc_id is not null and n_shingles = 0").select("doc_id").distinct()
+    of_bare = reps.join(bare, "doc_id", "left_semi").join(of_class.select("rep", "least"), "rep").groupBy("doc_id").agg(F.min("least").alias("bare_least"))
+    empty = rows.filter("n_shingles = 0").select("doc_id", "n_shingles").join(of_bare, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("bare_least", "doc_id").alias("least"))
+    full = rows.filter("n_shingles > 0").select("doc_id", "n_shingles", "class").join(of_class, "class", "left").select("doc_id", "n_shingles", "least")
+    component = F.when(F.col("doc_id").isNotNull(), F.col("least"))
+    return full.unionByName(empty).select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def drop_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with its columns; a repeated doc_id stays once."""
+    """One document of each group of texts, with its columns: a row with the smallest doc_id; equal rows stay once.
+
+    Groups are those of the texts, whatever other texts their doc_ids have.
+    """
     columns = docs.columns
-    kept = near_duplicates(docs, n, percent).filter("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    rows, classes, found = _linked(docs.select("doc_id", "text"), n, percent)
+    chosen = _components(classes, found).groupBy("component").agg(F.min("first").alias("first")).select("first.*")
+    bare = rows.filter("doc_id is not null and n_shingles = 0").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
+    kept = chosen.unionByName(bare).select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("doc"), F.col("doc_id").cast("long").alias("kept_id"), F.xxhash64(F.col("text").cast("string")).alias("kept_key"))
+    named = keyed.join(kept, ["kept_id", "kept_key"], "left_semi").dropDuplicates(["kept_id", "kept_key"]).select(*(F.col(f"doc.`{c}`").alias(c) for c in columns))
     return named.unionByName(docs.filter("doc_id is null")).select(*(F.col(f"`{c}`") for c in columns))
