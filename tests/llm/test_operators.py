@@ -297,6 +297,20 @@ def test_pii_checks_and_mask(spark):
     assert out[1].text == "iban [IBAN] ok" and out[6].text is None and out[6].n_chars == 9 and out[4].text == texts[4]
 
 
+def test_pii_numbers_before_words_and_long_tokens(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"]
+    texts = [f"IBAN {i}{end}" for i in ibans for end in (" BIC CAIXESBB", " EUR", " 100", " 1234 5678", " now", ".", "")] + [f"konto {i.replace(' ', '')} BIC" for i in ibans]
+    texts += [f"account REF AB12 3456 7890 {i} EUR" for i in ibans]
+    tokens_ = ["a" * 65 + "1" * 20, "b" * 5000 + "7", "c" * 60 + "1" * 20]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts + [f'token = "{t}"' for t in tokens_])], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.report(docs).collect()}
+    for k, t in enumerate(texts):
+        iban = next(i for x in ibans for i in (x, x.replace(" ", "")) if i in t)
+        assert f"iban:{t.index(iban)}:{t.index(iban) + len(iban)}" in got[k].spans.split(","), t
+    assert [got[len(texts) + k].n_secret for k in range(3)] == [1, 1, 1]
+    assert "[IBAN] BIC" in pii.mask(docs.limit(1)).first().text
+
+
 def test_decontamination(spark, hostile, small, small_rows, monkeypatch):
     rows = brute.hostile_rows()
     text = [t for _, t in rows if t and len(t) > 300]

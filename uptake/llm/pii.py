@@ -82,14 +82,36 @@ class Kind:
     context: str
 
 
+#: Characters of an account number by its country code: the registry and the countries that use the format without being listed.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """A number of the length of its country; else one of any length, which takes up no number of a known length."""
+
+    def of(n: int, codes: str) -> str:
+        groups, rest = divmod(n - 4, 4)
+        last = rf"\x20[A-Z0-9]{{{rest}}}" if rest else ""
+        return rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{n - 4}}}|(?:\x20[A-Z0-9]{{4}}){{{groups}}}{last})"
+
+    known = rf"(?:{'|'.join(of(n, codes) for n, codes in IBAN_LENGTHS.items())})(?![A-Za-z0-9])"
+    group = rf"\x20(?!(?=[A-Z]{{2}}[0-9]{{2}}){known})[A-Z0-9]"
+    other = rf"[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?:{group}{{4}}){{2,7}}(?:{group}{{1,3}})?)(?![A-Za-z0-9])"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{known}|{other})"
+
+
 #: The first four are the base; the patterns of the base are fixed values.
 KINDS = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", None, 0.9, r"mail|contact|write"),
     Kind("ip", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]", _bytes_fit, 0.6, r"\bip\b|address|host|server"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9]", lambda m: _let(_digits(m), lambda d: F.when(F.length(d).between(16, 19), luhn(d)).otherwise(False)), 0.7, r"card|visa|master|credit|pay"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", lambda m: F.length(_digits(m)).between(8, 15), 0.6, r"phone|tel|call|mobile|fax"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}", mod97, 0.7, r"iban|account|bank|konto"),
-    Kind("secret", r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{0,64}[0-9])[A-Za-z0-9_+/-]{32,}+", r"[A-Za-z0-9_+/-]{32}", None, 0.25, r"token|secret|passw|api.?key|credential"),
+    Kind("iban", _iban(), r"[A-Z]{2}[0-9]{2}", mod97, 0.7, r"iban|account|bank|konto"),
+    Kind("secret", r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{32,}+", r"[A-Za-z0-9_+/-]{32}", None, 0.25, r"token|secret|passw|api.?key|credential"),
 )
 BASE = KINDS[:4]
 
