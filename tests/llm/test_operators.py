@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from uptake.llm import binary, chat, decontam, langid, lm, neardup, packing, pii, quality, substring, tokens
+from uptake.llm import batches, binary, chat, decontam, langid, lm, neardup, packing, pii, quality, substring, tokens
 from uptake.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -103,6 +103,14 @@ def test_lm_many_batches(small, small_rows, monkeypatch):
     same(rounded(got), rounded(brute.lm(small_rows, 0.1, (50.0, 5.0))))
 
 
+def test_totals_above_32_bits(spark):
+    keys, counts = np.array([5, 9], np.uint64), np.array([4_000_000_000, 1], np.uint32)
+    rows = [tuple(r.values()) for b in (0, 1) for r in batches.ask_rows(b, 1, keys, counts, 1)]
+    asked = spark.createDataFrame(rows, "bucket int, batch long, kind int, keys binary, counts binary")
+    got = batches.totals(asked).filter("batch = 1").toArrow()
+    assert batches.answers(got)[1].tolist() == [8_000_000_000, 2]
+
+
 def _chat(rows):
     out = []
     for conv in {r[0] for r in rows}:

@@ -125,7 +125,7 @@ def ask(batches: DataFrame, questions: Callable[[pa.RecordBatch], Iterator[list[
 
 
 def totals(asked: DataFrame, summary: bool = False) -> DataFrame:
-    """Sum of ``counts`` per (kind, key) over all batches, sent back to each batch in its own order.
+    """Sum of ``counts`` per (kind, key) over all batches, sent back to each batch in its own order, as 64-bit integers.
 
     With ``summary``, a bucket adds rows of batch -1 per kind: [keys with a
     positive total, sum of totals] as 64-bit integers.
@@ -145,7 +145,7 @@ def totals(asked: DataFrame, summary: bool = False) -> DataFrame:
             start = 0
             for batch, keys, _ in rows:
                 mine = total[at[start : start + len(keys)]]
-                out.append({"batch": batch, "kind": kind, "bucket": bucket, "counts": planes(np.minimum(mine, 0xFFFFFFFF).astype(np.uint32))})
+                out.append({"batch": batch, "kind": kind, "bucket": bucket, "counts": planes(mine)})
                 start += len(keys)
         return pa.Table.from_pylist(out, REPLY_ARROW)
 
@@ -156,5 +156,5 @@ def answers(table: pa.Table) -> dict[int, np.ndarray]:
     """Per kind, the totals in the order of the sorted keys that the batch asked about."""
     found: dict[int, list] = {}
     for kind, bucket, counts in zip(*(table.column(c).to_pylist() for c in ("kind", "bucket", "counts"))):
-        found.setdefault(kind, []).append((bucket, unplanes(counts, np.uint32)))
+        found.setdefault(kind, []).append((bucket, unplanes(counts, np.uint64)))
     return {k: np.concatenate([c for _, c in sorted(v, key=lambda x: x[0])]) for k, v in found.items()}
