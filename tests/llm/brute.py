@@ -175,3 +175,102 @@ def token_ids(rows, path, end_id=1):
 
     t = Tokenizer.from_file(path)
     return [(i, np.array([*t.encode(x or "", add_special_tokens=False).ids, end_id], np.uint32)) for i, x in rows]
+
+
+def importance(rows, targets, percent=5, min_words=20, seed=42):
+    def features(text):
+        w = BENCH_WORD.findall(lower(text or ""))
+        return len(w), [" ".join(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1)]
+
+    bucket = lambda f: zlib.crc32(f.encode()) % 10_000
+    docs = [(i, *features(t)) for i, t in rows]
+    s, t = Counter(bucket(f) for _, _, fs in docs for f in fs), Counter(bucket(f) for x in targets for f in features(x)[1])
+    all_s, all_t = float(sum(s.values()) + 10_000), float(sum(t.values()) + 10_000)
+    gain = {b: math.floor(1000 * math.log((t[b] + 1.0) * all_s / ((s[b] + 1.0) * all_t))) for b in range(10_000)}
+    scored = []
+    for i, n, fs in docs:
+        h = int(sha(f"{seed}:{'null' if i is None else i}")[:8], 16)
+        weight = sum(gain[bucket(f)] for f in fs)
+        scored.append((i, len(fs), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n >= min_words))
+    order = sorted((r for r in scored if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    drawn = order[: percent * len(order) // 100]
+    rest = order[len(drawn) :] + [r for r in scored if not r[4]]
+    return [(*r[:4], k + 1) for k, r in enumerate(drawn)] + [(*r[:4], None) for r in rest]
+
+
+def merkle(rows):
+    """rows (doc_id, source, lang, n_chars, text): doc_id, leaf, subroot, root, proof, folded root, verified."""
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    trees = {}
+    for row in rows:
+        leaf = sha("".join(map(field, row)))
+        changed = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[4] is not None
+        trees.setdefault(row[2], []).append((row[0], leaf, sha("".join(map(field, (*row[:4], lower(row[4]))))) if changed else leaf))
+
+    def up(hashes):
+        """Per node its siblings before and after on each level, and the last hash."""
+        paths, at, level = [[] for _ in hashes], list(range(len(hashes))), list(hashes)
+        while len(level) > 1:
+            for path, k in zip(paths, at):
+                run = k // 8 * 8
+                path.append(("".join(level[run:k]), "".join(level[k + 1 : run + 8])))
+            level, at = [sha("".join(level[k : k + 8])) for k in range(0, len(level), 8)], [k // 8 for k in at]
+        return paths, level[0]
+
+    names = sorted(trees, key=lambda x: (x is not None, (x or "").encode()))
+    made = {}
+    for name in names:
+        trees[name].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        made[name] = up([leaf for _, leaf, _ in trees[name]])
+    tops, root = up([made[name][1] for name in names]) if names else ([], None)
+    out = []
+    for name, top in zip(names, tops):
+        for (doc_id, leaf, seen), path in zip(trees[name], made[name][0]):
+            h = seen
+            for before, after in path + top:
+                h = sha(before + h + after)
+            out.append((doc_id, leaf, made[name][1], root, sha("".join(a + b for a, b in path + top)), h, h == root))
+    return out
+
+
+def secret_base(text):
+    text = text or ""
+    word = "".join
+    either = lambda w: word(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
+    names = "|".join([either("password"), either("passwd"), either("secret"), either("token"), either("api") + "_?" + either("key")])
+    kinds = {
+        "assign": (f"({names})" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 12),
+        "access": (r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 18),
+        "hex": (r"[0-9a-f]+", lambda m: len(m.group()) >= 16),
+    }
+    found = [(m.start(), k, kind, m.end()) for k, (kind, (p, ok)) in enumerate(kinds.items()) for m in re.finditer(p, text) if ok(m)]
+    return [(kind, s, e) for s, _, kind, e in sorted(found)]
+
+
+def secret_spans(text, classes, allowed, alphabets):
+    """Base and random spans by counting every window anew; ``classes`` are (kind, alphabet, width, bits)."""
+    text = text or ""
+
+    def bits(w):
+        return -sum(c / len(w) * math.log2(c / len(w)) for c in Counter(w).values())
+
+    def fine(s):
+        return any(re.fullmatch(p, s, re.DOTALL) for p in allowed) or any(s.lower() in a * 2 for a in alphabets)
+
+    spans = secret_base(text)
+    for kind, alphabet, width, least in classes:
+        found = []
+        for m in re.finditer(f"[{alphabet}]+", text):
+            if len(m.group()) < width or fine(m.group()):
+                continue
+            hot = [i for i in range(m.start(), m.end() - width + 1) if bits(text[i : i + width]) >= least]
+            joined = []
+            for i in hot:
+                if joined and i <= joined[-1][1]:
+                    joined[-1][1] = i + width
+                else:
+                    joined.append([i, i + width])
+            found += [(kind, s, e) for s, e in joined if not fine(text[s:e])]
+        spans += [f for f in found if not any(s <= f[1] and f[2] <= e for _, s, e in spans)]
+    rank = ["assign", "access", "hex", *(c[0] for c in classes)]
+    return sorted(spans, key=lambda x: (x[1], rank.index(x[0]), x[2]))

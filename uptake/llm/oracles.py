@@ -122,9 +122,111 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+#: The 256 entries of the checksum's table from its polynomial, and a checksum of the bytes that ``hex`` names.
+_CRC_TABLE = """
+crc_bits(n, c, k) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_bits WHERE k < 8
+),
+crc_table AS (SELECT list(c ORDER BY n) AS t FROM crc_bits WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    digit = lambda i: f"(instr('0123456789ABCDEF', substr(hex(encode({text})), {i}, 1)) - 1)"
+    code = f"list_transform(range(0, strlen({text})), lambda i: ({digit('2 * i + 1')} * 16 + {digit('2 * i + 2')})::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({code}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
+OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+texts AS (
+  SELECT row_number() OVER () AS r, doc_id, {_FOLDED} AS w FROM documents
+),
+runs AS (SELECT r, array_to_string(w[i:i + k - 1], ' ') AS f FROM texts, unnest(range(1, 4)) AS ks(k), unnest(range(1, len(w) - k + 2)) AS places(i)),
+wanted AS (
+  SELECT array_to_string(w[i:i + k - 1], ' ') AS f
+  FROM (SELECT {_FOLDED} AS w FROM benchmark), unnest(range(1, 4)) AS ks(k), unnest(range(1, len(w) - k + 2)) AS places(i)
+),
+named AS (SELECT f, {_crc("f")} % 10000 AS bucket FROM (SELECT f FROM runs UNION SELECT f FROM wanted), crc_table),
+corpus AS (SELECT bucket, count(*) AS s FROM runs JOIN named USING (f) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM wanted JOIN named USING (f) GROUP BY bucket),
+sums AS (SELECT (SELECT count(*) FROM runs)::DOUBLE AS all_s, (SELECT count(*) FROM wanted)::DOUBLE AS all_t),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000) / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain
+  FROM corpus LEFT JOIN target USING (bucket), sums
+),
+weighed AS (SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM runs JOIN named USING (f) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, len(w) >= 20 AS eligible, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM texts LEFT JOIN weighed USING (r)
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY eligible ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) OVER (PARTITION BY eligible) AS n FROM scored
+)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN eligible AND place <= 5 * n // 100 THEN place END AS rank FROM ranked
+"""
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+_BEFORE_TEXT = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: One level: runs of eight nodes of a tree become their hash, until a tree has one node.
+_UP = """
+  SELECT tree, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM {0} WHERE n > 1 GROUP BY tree, level, pos // 8, n
+"""
+
+OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+hashed AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256({_BEFORE_TEXT} || {_FIELD.format("text")}) AS leaf,
+    CASE WHEN {_crc("doc_id::VARCHAR")} % 3 = 0 THEN sha256({_BEFORE_TEXT} || {_FIELD.format(_LOWERED)}) END AS changed
+  FROM documents, crc_table
+),
+leaves AS (
+  SELECT *, row_number() OVER by_tree - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n, (row_number() OVER by_tree) || tree AS r
+  FROM hashed WINDOW by_tree AS (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf)
+),
+nodes(tree, level, pos, n, h) AS (SELECT tree, 0, pos, n, leaf FROM leaves UNION ALL {_UP.format("nodes")}),
+subroots AS (SELECT tree, level AS height, h AS subroot FROM nodes WHERE n = 1),
+tops(tree, level, pos, n, h) AS (
+  SELECT '', 0, row_number() OVER (ORDER BY tree) - 1, count(*) OVER (), subroot FROM subroots UNION ALL {_UP.format("tops")}
+),
+named AS (SELECT *, row_number() OVER (ORDER BY tree) - 1 AS top_pos FROM subroots),
+steps AS (
+  SELECT tree, 0 AS part, level, pos, h FROM nodes WHERE n > 1
+  UNION ALL SELECT '', 1, level, pos, h FROM tops WHERE n > 1
+),
+runs AS (SELECT tree, part, level, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM steps GROUP BY ALL),
+ancestors AS (
+  SELECT r, part, level, CASE part WHEN 0 THEN l.pos ELSE top_pos END // (8 ** level)::BIGINT AS spot, runs.hs
+  FROM leaves l JOIN named USING (tree)
+  JOIN runs ON runs.tree = CASE part WHEN 0 THEN l.tree ELSE '' END
+    AND runs.run = CASE part WHEN 0 THEN l.pos ELSE top_pos END // (8 ** (level + 1))::BIGINT
+),
+sides AS (
+  SELECT r, part, level, array_to_string(hs[1:spot % 8], '') AS before, array_to_string(hs[spot % 8 + 2:], '') AS after FROM ancestors
+),
+paths AS (
+  SELECT r, list({{'before': before, 'after': after}} ORDER BY part, level) AS path, string_agg(before || after, '' ORDER BY part, level) AS proof FROM sides GROUP BY r
+),
+proven AS (
+  SELECT l.*, subroot, (SELECT h FROM tops WHERE n = 1) AS root, coalesce(path, []) AS path, sha256(coalesce(proof, '')) AS proof_sha256
+  FROM leaves l JOIN subroots USING (tree) LEFT JOIN paths USING (r)
+),
+folds(r, k, h) AS (
+  SELECT r, 0, coalesce(changed, leaf) FROM proven
+  UNION ALL SELECT r, k + 1, sha256(path[k + 1].before || h || path[k + 1].after) FROM folds JOIN proven USING (r) WHERE k < len(path)
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, h AS folded_root, h = root AS verified FROM proven JOIN folds ON folds.r = proven.r AND k = len(path)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_chat_formatting": OP3,
     "op5_quality_rules": OP5,
     "op7_substring_dedup": OP7,
     "op10_decontamination": OP10,
+    "op11_importance_resampling": OP11,
+    "op12_merkle_manifest": OP12,
 }

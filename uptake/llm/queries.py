@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uptake.llm import binary, chat, decontam, langid, lm, neardup, packing, pii, quality, substring
+from uptake.llm import binary, chat, decontam, importance, langid, lm, manifest, neardup, packing, pii, quality, secret_scan, substring
 from uptake.llm.oracles import ORACLE  # noqa: F401
 
 END_ID = 1
@@ -72,10 +72,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5, min_words=20, seed=42)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = manifest.manifest(table(spark, sf_dir, "documents"), {"seen": manifest.tampered_leaf(changed, lowered)})
+    proven = manifest.verify(rows, "seen").withColumn("proof_sha256", manifest.proof(F.col("path")))
+    return proven.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_lm_scoring, op3_chat_formatting, op4_token_ids, op5_quality_rules, op6_language_id,
         op7_substring_dedup, op8_minhash_near_dedup, op9_pii, op10_decontamination,
+        op11_importance_resampling, op12_merkle_manifest, op13_secret_scan,
     )
 }
