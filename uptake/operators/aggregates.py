@@ -13,7 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uptake.functions.arith import ieee_divide, ln_inf, nan_to_null, row_sum, share_true
+from uptake.functions.arith import finite_or_null, ieee_divide, ln_inf, nan_to_null, row_sum, share_true
+from uptake.operators.moments import correlations
+from uptake.operators.selection import group_quantile
 
 
 def _q(name: str) -> str:
@@ -96,8 +98,16 @@ def group_mean(df: DataFrame, key: str | Sequence[str], columns: Sequence[str])
     return df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in columns])
 
 
-def group_median(df: DataFrame, key: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Exact interpolated median per group, NULLs skipped (pandas ``median``)."""
+def group_median(df: DataFrame, key: str | Sequence[str], columns: Sequence[str], large_groups: bool = False) -> DataFrame:
+    """Exact interpolated median per group, NULLs skipped (pandas ``median``).
+
+    One aggregate that keeps a group's values in a buffer, right for groups
+    whose size the schema bounds (a region has one row per year). With
+    ``large_groups`` ranks are selected from a range sort instead, and no task
+    holds a group. The values are the same.
+    """
+    if large_groups:
+        return group_quantile(df, key, columns, 0.5)
     keys = [key] if isinstance(key, str) else list(key)
     return df.groupBy(*keys).agg(*[F.median(c).alias(c) for c in columns])
 
@@ -149,14 +159,10 @@ def correlation_long(
     """Pearson correlation of every column pair after a natural log of ``log_columns``.
 
     Pairwise complete like pandas ``DataFrame.corr``: NaN counts as missing.
-    Each row is expanded into its (column i, column j) value pairs -- a fixed
-    fan-out of c(c+1)/2 set by the schema, not by the data -- and one
-    ``groupBy(x, y)`` computes the numerically stable sample covariance and
-    standard deviations. Partial aggregation collapses every pair to one
-    buffer per task before the shuffle, so the shuffle is c(c+1)/2 rows per
-    task whatever the row count. ``ln(0) = -inf`` makes every pair with that
-    column NaN, as in numpy; a constant column gives NULL (pandas: NaN)
-    instead of the error ``corr`` raises under ANSI.
+    One pass of mergeable co-moments per task (``operators.moments``), merged
+    by pair: no row is expanded, the shuffle is one row per task and pair.
+    ``ln(0) = -inf`` makes every pair with that
+    column NaN, as in numpy; a constant column gives NULL (pandas: NaN).
     Output: (x, y, r) for all ordered pairs, diagonal included.
     """
     cols = list(columns)
@@ -167,32 +173,15 @@ def correlation_long(
             for i, c in enumerate(cols)
         ]
     )
-    # the c(c+1)/2 pair structs as one SQL expression: one parse in the JVM
-    # instead of thousands of Python-to-JVM calls for individual columns
-    def lit(name: str) -> str:
-        return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    pair_sql = ", ".join(
-        f"named_struct('x', {lit(cols[i])}, 'y', {lit(cols[j])}, 'a', v{i}, 'b', v{j})"
-        for i in range(len(cols))
-        for j in range(i, len(cols))
-    )
-    long = prepared.selectExpr(f"inline(array({pair_sql}))")
-    complete = long.where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    moments = complete.groupBy("x", "y").agg(
-        F.covar_samp("a", "b").alias("cov"), F.stddev_samp("a").alias("sa"), F.stddev_samp("b").alias("sb")
-    )
-    r = F.try_divide(F.col("cov"), F.col("sa") * F.col("sb"))
-    # clamp rounding overshoot; NULL and NaN pass through (greatest() would skip a NULL)
-    r = F.when(r.isNull() | F.isnan(r), r).otherwise(F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
-    upper = moments.select("x", "y", r.alias("r"))
+    upper = correlations(prepared, prepared.columns)
     # every column pair appears in the output, also pairs without a complete row
     grid = df.sparkSession.createDataFrame(
-        [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i, len(cols))], "x string, y string"
+        [(i, j, cols[i], cols[j]) for i in range(len(cols)) for j in range(i, len(cols))], "i int, j int, x string, y string"
     )
-    upper = grid.join(upper, on=["x", "y"], how="left")
-    lower = upper.where(F.col("x") != F.col("y")).select(F.col("y").alias("x"), F.col("x").alias("y"), "r")
-    return upper.unionByName(lower)
+    upper = grid.join(upper, on=["i", "j"], how="left")
+    # both orders of a pair from one pass; the diagonal once
+    sides = F.array(F.struct("x", "y"), F.when(F.col("i") != F.col("j"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))
+    return upper.select(F.explode(F.array_compact(sides)).alias("s"), "r").select("s.x", "s.y", "r")
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -248,6 +237,35 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
+def histograms(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
+    """A15 on many columns: equal-width bins over each column's own [min, max], the maximum in the last bin.
+
+    One aggregate for all bounds (two numbers per column reach the driver) and
+    one for all counts, combined map side to columns x bins rows per task.
+    Output (column_name, bin, lower, upper, n): every bin, empty ones too; a
+    constant column has one bin, a column without finite values none. NULL,
+    NaN and infinite values are left out.
+    """
+    cols = list(columns)
+    values = df.select(*[finite_or_null(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    bounds = values.agg(*[f(f"v{i}").alias(f"{f.__name__}{i}") for i in range(len(cols)) for f in (F.min, F.max)]).first()
+    grid, binned = [], []
+    for i, c in enumerate(cols):
+        lo, hi = bounds[f"min{i}"], bounds[f"max{i}"]
+        if lo is None:
+            continue
+        width, v = (hi - lo) / bins, F.col(f"v{i}")
+        b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)) + 1, F.lit(bins)) if width else F.lit(1)
+        binned.append(F.when(v.isNotNull(), F.struct(F.lit(i).alias("column"), b.cast("int").alias("bin"))))
+        grid += [(i, b, c, lo + (b - 1) * width, lo + b * width) for b in range(1, (bins if width else 1) + 1)]
+    grid = df.sparkSession.createDataFrame(grid, "column int, bin int, column_name string, lower double, upper double")
+    if not binned:
+        return grid.select("column_name", "bin", "lower", "upper", F.lit(0).cast("bigint").alias("n"))
+    counted = values.select(F.explode(F.array_compact(F.array(*binned))).alias("b")).groupBy("b.column", "b.bin").agg(F.count(F.lit(1)).alias("n"))
+    joined = grid.join(counted, on=["column", "bin"], how="left")
+    return joined.select("column_name", "bin", "lower", "upper", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def discrepancy(parts: Sequence[str], total: str) -> Column:
     """(sum of parts - total) / total with a NULL-skipping row sum.
 

@@ -127,6 +127,64 @@ def bootstrap_means_poisson(
     )
 
 
+#: Rows of a block of the split scheme; blocks follow the dense index, so the scheme depends on n alone.
+SPLIT_BLOCK = 1 << 16
+
+
+def block_draws(n: int, block: int, n_boot: int, seed: int, size: int = SPLIT_BLOCK) -> "np.ndarray":
+    """Of n draws with replacement from n rows, how many fall into one block of ``size`` rows, per replicate.
+
+    The blocks are the leaves of a binary tree. At each node the draws of all
+    replicates are split between its halves by binomial numbers seeded by the
+    node, so the blocks of a replicate share one multinomial draw, although each
+    walks its own log2(blocks) nodes and knows nothing of the others.
+    """
+    import numpy as np
+
+    low, high = 0, -(-n // size)
+    draws = np.full(n_boot, n, np.int64)
+    rows = lambda a, b: min(b * size, n) - min(a * size, n)
+    while high - low > 1:
+        middle = (low + high) // 2
+        left = np.random.default_rng([seed, low, high]).binomial(draws, rows(low, middle) / rows(low, high))
+        draws, low, high = (left, low, middle) if block < middle else (draws - left, middle, high)
+    return draws
+
+
+def bootstrap_means_split(indexed: DataFrame, value: str, n: int, n_boot: int = 2000, seed: int = 42, size: int | None = None) -> DataFrame:
+    """Means of ``n_boot`` resamples of n rows with dense index ``j``: multinomial, without a row per draw.
+
+    A block of rows learns its draws from :func:`block_draws`, takes them where
+    it lies and gives a sum and a count per replicate; the shuffle after that is
+    one row of each per block. NULL values are drawn and skipped by the mean.
+    """
+    import pyarrow as pa
+
+    size = size or SPLIT_BLOCK
+
+    def resampled(rows: pa.Table) -> pa.Table:
+        import numpy as np
+
+        block = rows.column("block")[0].as_py()
+        order = np.argsort(rows.column("j").to_numpy())
+        values = rows.column("v").to_numpy(zero_copy_only=False).astype(float)[order]
+        present = ~np.isnan(values)
+        values = np.where(present, values, 0.0)
+        draws = block_draws(n, block, n_boot, seed, size)
+        rng = np.random.default_rng([seed, n, block, 1])
+        sums, counts = np.zeros(n_boot), np.zeros(n_boot, np.int64)
+        for b, m in enumerate(draws.tolist()):
+            at = rng.integers(0, len(values), m)
+            sums[b], counts[b] = values[at].sum(), present[at].sum()
+        return pa.table({"s": pa.array([sums.tolist()]), "m": pa.array([counts.tolist()], pa.list_(pa.int64()))})
+
+    blocks = indexed.select(F.expr(f"j div {size}").alias("block"), "j", F.col(value).cast("double").alias("v"))
+    parts = blocks.groupBy("block").applyInArrow(resampled, "s array<double>, m array<bigint>")
+    rows = parts.select(F.posexplode(F.arrays_zip("s", "m")).alias("replicate", "p"))
+    means = rows.groupBy("replicate").agg(F.sum("p.s").alias("s"), F.sum("p.m").alias("m"))
+    return means.select(F.col("replicate").cast("bigint").alias("replicate"), F.try_divide("s", "m").alias("mean"))
+
+
 def bootstrap_summary(
     values: DataFrame,
     value: str,
@@ -145,11 +203,13 @@ def bootstrap_summary(
 
     ``method``: "multinomial" resamples n of n with replacement as the
     original does (hash draws joined to a dense index), whatever n is;
-    "poisson" uses Poisson(1) weights (no join) where the caller asks for it.
+    "split" draws the same distribution by binomial splits over blocks of the
+    dense index, without a row per draw; "poisson" uses Poisson(1) weights.
+    Both only where the caller asks for them.
     """
     from uptake.session import cut_lineage
 
-    if method not in ("multinomial", "poisson"):
+    if method not in ("multinomial", "split", "poisson"):
         raise ValueError(f"unknown method {method!r}")
     # the input (one row per matched unit) is read by the count, the range
     # sampling, the index and the estimate: materialise it once
@@ -159,6 +219,8 @@ def bootstrap_summary(
     row_est, n = row["att"], row["n"]
     if method == "poisson":
         means = bootstrap_means_poisson(values, value, order, n_boot, seed)
+    elif method == "split":
+        means = bootstrap_means_split(dense_index(values, order, "j"), value, n, n_boot, seed)
     else:
         indexed = dense_index(values, order, "j")
         means, n = bootstrap_means(values, value, order, n_boot, seed, indexed, n)

@@ -50,10 +50,10 @@ def region_covariates(
     return drop_null(out)
 
 
-def outcome(fact: DataFrame, customer_type: str, measure: str) -> DataFrame:
-    """Median of one fact measure per region for one customer type (all years)."""
+def outcome(fact: DataFrame, customer_type: str, measure: str, large_groups: bool = False) -> DataFrame:
+    """Median of one fact measure per region for one customer type (all years); ``large_groups`` as in ``group_median``."""
     rows = filter_equal(fact, "Type", customer_type).where(F.col("Lga").isNotNull())
-    return rows.groupBy("Lga").agg(F.median(F.col(measure).cast("double")).alias(measure))
+    return group_median(rows.select("Lga", F.col(measure).cast("double").alias(measure)), "Lga", [measure], large_groups)
 
 
 def quantile_cuts(df: DataFrame, column: str, low: float = 0.33, high: float = 0.67) -> DataFrame:
@@ -109,6 +109,7 @@ def propensity(
     exclude: Sequence[str] = (),
     max_iter: int = 1000,
     materialise: bool = True,
+    partitions: int = MODEL_PARTITIONS,
 ) -> tuple[DataFrame, list[str], object]:
     """M7: logistic propensity score on standardised covariates.
 
@@ -119,8 +120,7 @@ def propensity(
     fitted model).
 
     The input (one row per unit) is checkpointed once unless the caller has
-    already materialised it, and dealt to MODEL_PARTITIONS by key whatever its
-    size: the count, the scaler statistics and every solver iteration then
+    already materialised it, and dealt to ``partitions`` tasks by key: the count, the scaler statistics and every solver iteration then
     read the small table instead of recomputing its lineage.
     """
     if materialise:
@@ -132,7 +132,7 @@ def propensity(
     covariates = [c for c in df.columns if c not in set(exclude) | {key, target}]
     data = df.withColumn("__label", F.col(target).cast("double"))
     n = df.count()
-    data = standardise(data, covariates).repartition(MODEL_PARTITIONS, key)
+    data = standardise(data, covariates).repartition(partitions, key)
     assembled = VectorAssembler(inputCols=covariates, outputCol="__features").transform(data)
     lr = LogisticRegression(
         featuresCol="__features",
@@ -150,6 +150,22 @@ def propensity(
     return scored, covariates, model
 
 
+def propensity_certificate(scored: DataFrame, target: str, covariates: Sequence[str], coefficients: Sequence[float]) -> DataFrame:
+    """Gradient of the penalised loss at given scores, per covariate and for the intercept, over the number of rows.
+
+    The loss is 0.5 |w|^2 + sum(log loss) on the standardised covariates; at its
+    optimum the sum of (score - target) * covariate + w is 0 for each. One
+    aggregate, whatever solver made the scores.
+    """
+    rows = standardise(scored, covariates)
+    miss = F.col("propensity_score") - F.col(target).cast("double")
+    names = [*covariates, "(intercept)"]
+    sums = [F.sum(miss * F.col(c)) + F.lit(float(w)) for c, w in zip(covariates, coefficients)] + [F.sum(miss)]
+    wide = rows.agg(*[(g / F.count(F.lit(1))).alias(f"g{i}") for i, g in enumerate(sums)])
+    pairs = F.array(*[F.struct(F.lit(c).alias("covariate"), F.col(f"g{i}").alias("gradient")) for i, c in enumerate(names)])
+    return wide.select(F.explode(pairs).alias("p")).select("p.*")
+
+
 def matched_pairs(scored: DataFrame, key: str, treated: str, score: str, caliper_sd: float = CALIPER_SD) -> DataFrame:
     """Nearest control per treated row within caliper_sd x std of all scores."""
     return match_nearest(scored, key, treated, score, caliper_sd)
@@ -220,16 +236,31 @@ def contrast(
     once: the solver and the later steps read them many times.
     """
     units = cut_lineage(units)
-    outcome_df = cut_lineage(outcome_df)
     scored, covariates, _ = propensity(units, key, target, exclude, materialise=False)
+    return contrast_from_scores(scored, key, target, "propensity_score", covariates, outcome_df, outcome_col, n_boot, seed)
+
+
+def contrast_from_scores(
+    scored: DataFrame,
+    key: str,
+    target: str,
+    score: str,
+    covariates: Sequence[str],
+    outcome_df: DataFrame,
+    outcome_col: str,
+    n_boot: int = N_BOOT,
+    seed: int = SEED,
+) -> dict:
+    """M8-M11 on units that have a score already: match -> balance -> ATT with bootstrap."""
+    outcome_df = cut_lineage(outcome_df)
     # written to the checkpoint folder, so no cache outlives the call
     scored = cut_lineage(scored.withColumn("__treated", F.col(target).cast("boolean")))
-    pairs = cut_lineage(matched_pairs(scored.withColumnRenamed(key, "__key"), "__key", "__treated", "propensity_score"))
+    pairs = cut_lineage(matched_pairs(scored.withColumnRenamed(key, "__key"), "__key", "__treated", score))
     with_outcome = attach_outcome(pairs, outcome_df, key, outcome_col)
     return {
         "scored": scored,
         "pairs": pairs,
-        "matched_share": matched_share(pairs, units),
+        "matched_share": matched_share(pairs, scored),
         "balance": balance(scored, key, "__treated", pairs, covariates),
         "att": bootstrap_att(with_outcome, n_boot, seed),
     }

@@ -120,6 +120,7 @@ def run_segmentation(spark: SparkSession, kpis: dict[str, DataFrame], out: str)
     res_clusters = segment.cluster(res_latest, "Lga")
     bus_clusters = segment.cluster(bus_latest, "Lga")
     res_scores, res_loadings, res_ratios = segment.pca(res_latest, "Lga")
+    bus_scores, bus_loadings, bus_ratios = segment.pca(bus_latest, "Lga")
     res_means, res_ranks = segment.profile_clusters(res_latest, res_clusters, "Lga")
     bus_means, bus_ranks = segment.profile_clusters(bus_latest, bus_clusters, "Lga")
     sinks.write_report(res_means, res_ranks, f"{out.rstrip('/')}/res_segment_report")
@@ -130,6 +131,11 @@ def run_segmentation(spark: SparkSession, kpis: dict[str, DataFrame], out: str)
         "res_pca_scores": res_scores,
         "res_pca_loadings": res_loadings,
         "res_pca_ratios": res_ratios,
+        "bus_pca_scores": bus_scores,
+        "bus_pca_loadings": bus_loadings,
+        "bus_pca_ratios": bus_ratios,
+        "res_elbow": segment.elbow(res_latest, "Lga", segment.CLUSTER_FEATURES),
+        "bus_elbow": segment.elbow(bus_latest, "Lga", segment.CLUSTER_FEATURES),
         "res_profile": res_means,
         "bus_profile": bus_means,
         "metrics": segment.segment_metrics(kpis["res_metrics"], kpis["bus_metrics"], res_clusters, bus_clusters),

@@ -15,6 +15,7 @@ from uptake.operators.aggregates import (
     correlation_long,
     discrepancy,
     histogram,
+    histograms,
     keys_with_n_values,
     null_profile,
     share_of,
@@ -71,6 +72,11 @@ def discrepancy_histogram(economy: DataFrame, column: str = "sector_discrepancy"
     return histogram(discrepancies(economy), column, bins)
 
 
+def panel_histograms(panel: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
+    """A15 on every numeric column of a panel."""
+    return histograms(panel, columns, bins)
+
+
 def reconcile_totals(economy: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Drop regions with any discrepancy beyond the tolerance, fill NULL parts with 0 elsewhere.
 

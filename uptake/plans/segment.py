@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uptake.functions.arith import finite_or_null, round_half_even
 from uptake.operators.relational import label_and_union, lookup
 from uptake.operators.windows import average_rank
-from uptake.session import cut_lineage, solver_input
+from uptake.session import MODEL_PARTITIONS, cut_lineage, solver_input
 
 # The five clustering features, the profile columns, k, seed.
 CLUSTER_FEATURES = ("GrowthSolar", "GrowthBattery", "PenSolar", "BSR", "CPDSolar")
@@ -68,54 +68,65 @@ def _kmeans(k: int, seed: int, max_iter: int = 300, tol: float = 1e-4):
     return KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="__c")
 
 
-def elbow(df: DataFrame, key: str, features: Sequence[str], ks: Sequence[int] = range(1, 14), seed: int = SEED) -> DataFrame:
+def elbow(
+    df: DataFrame, key: str, features: Sequence[str], ks: Sequence[int] = range(1, 14), seed: int = SEED, partitions: int = MODEL_PARTITIONS
+) -> DataFrame:
     """M2: mean squared distance to the nearest centre for each k (the distortion curve).
 
     k = 1 has a closed form: the sum of the population variances (the
     standardised features' count, constant columns contributing 0). Spark ML
-    rejects k = 1, so that point is computed directly.
+    rejects k = 1, so that point is computed directly. More clusters than rows
+    have no fit: such a k keeps its row, with a NULL distortion. A table
+    without rows has no curve.
+
+    The rows are dealt to ``partitions`` tasks; the seeded starts depend on
+    their number.
     """
     spark = df.sparkSession
     clean = cut_lineage(clean_features(df, key, features))
-    data = solver_input(standardise(clean, features), key)
+    data = solver_input(standardise(clean, features), key, partitions)
     vec = _vectors(data, features).select("features").cache()
-    n = vec.count()
-    rows = []
-    if n and max(ks, default=0) > n:
-        raise ValueError(f"{max(ks)} clusters asked of {n} rows")
-    if n:
-        from concurrent.futures import ThreadPoolExecutor
+    try:
+        n = vec.count()
 
         def fit(k):
+            if k > n:
+                return (k, None)
             if k == 1:
                 var = data.agg(*[F.var_pop(c).alias(c) for c in features]).first()
                 return (k, float(sum(v or 0.0 for v in var)))
             model = _kmeans(k, seed).fit(vec)
             return (k, float(model.summary.trainingCost) / n)
 
+        from concurrent.futures import ThreadPoolExecutor
+
         # the fits are independent jobs on one cached table: submit a few at
         # a time so the scheduler can fill idle cores (results do not depend
         # on the order; each fit has its own seed)
         with ThreadPoolExecutor(max_workers=4) as pool:
-            rows = sorted(pool.map(fit, ks))
-    vec.unpersist()
+            rows = sorted(pool.map(fit, ks)) if n else []
+    finally:
+        vec.unpersist()
     return spark.createDataFrame(rows, "k int, distortion double")
 
 
 def cluster(
-    df: DataFrame, key: str, features: Sequence[str] = CLUSTER_FEATURES, k: int = N_CLUSTERS, seed: int = SEED
+    df: DataFrame, key: str, features: Sequence[str] = CLUSTER_FEATURES, k: int = N_CLUSTERS, seed: int = SEED, partitions: int = MODEL_PARTITIONS
 ) -> DataFrame:
     """M3: K-means labels per key on standardised features.
 
-    Input rows are dealt by the hash of the key to a fixed number of partitions
-    and sorted, so the k-means|| initialisation sees the same on every run. Labels are
+    Input rows are dealt by the hash of the key to ``partitions`` tasks
+    and sorted, so the k-means|| initialisation, which depends on their number,
+    sees the same on every run. Labels are
     renumbered by centre (ordered by first feature, then the next), so they
     do not depend on the solver's internal numbering.
     """
     clean = cut_lineage(clean_features(df, key, features))
-    vec = _vectors(solver_input(standardise(clean, features), key), features).cache()
-    model = _kmeans(k, seed).fit(vec)
-    vec.unpersist()
+    vec = _vectors(solver_input(standardise(clean, features), key, partitions), features).cache()
+    try:
+        model = _kmeans(k, seed).fit(vec)
+    finally:
+        vec.unpersist()
     centres = [tuple(float(x) for x in c) for c in model.clusterCenters()]
     order = sorted(range(len(centres)), key=lambda i: centres[i])
     relabel = {old: new for new, old in enumerate(order)}
@@ -124,8 +135,39 @@ def cluster(
     return out
 
 
+def cluster_certificate(
+    df: DataFrame, labels: DataFrame, key: str, features: Sequence[str] = CLUSTER_FEATURES, tolerance: float = 1e-3
+) -> DataFrame:
+    """Whether given labels are a fixed point of K-means on the standardised features, whatever solver made them.
+
+    The centres are the means of the labelled rows (one aggregate, k x features
+    numbers); one more aggregate measures every row against them. One row:
+    ``n_rows`` with a label, ``n_clusters``, ``n_misplaced`` (rows that another
+    centre is nearer to, by more than ``tolerance``) and ``distortion``, the mean
+    squared distance to the own centre.
+    """
+    clean = cut_lineage(clean_features(df, key, features))
+    rows = cut_lineage(standardise(clean, features).join(labels.select(key, "Cluster"), on=[key], how="inner"))
+    centres = rows.groupBy("Cluster").agg(*[F.avg(c).alias(c) for c in features]).orderBy("Cluster").collect()
+
+    def distance(centre) -> Column:
+        return sum(((F.col(c) - F.lit(centre[c])) * (F.col(c) - F.lit(centre[c])) for c in features), F.lit(0.0))
+
+    measured = rows.select("Cluster", F.array(*[F.struct(F.lit(c["Cluster"]).alias("c"), distance(c).alias("d")) for c in centres]).alias("all")) if centres else None
+    if measured is None:
+        return df.sparkSession.createDataFrame([(0, 0, 0, None)], "n_rows bigint, n_clusters bigint, n_misplaced bigint, distortion double")
+    own = F.filter("all", lambda x: x["c"] == F.col("Cluster"))[0]["d"]
+    least = F.array_min(F.transform("all", lambda x: x["d"]))
+    return measured.select("Cluster", own.alias("own"), least.alias("least")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("Cluster").alias("n_clusters"),
+        F.count(F.when(F.sqrt("own") > F.sqrt("least") + tolerance, F.lit(1))).alias("n_misplaced"),
+        F.avg("own").alias("distortion"),
+    )
+
+
 def pca(
-    df: DataFrame, key: str, features: Sequence[str] = CLUSTER_FEATURES, k: int = 3
+    df: DataFrame, key: str, features: Sequence[str] = CLUSTER_FEATURES, k: int = 3, partitions: int = MODEL_PARTITIONS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """M4: principal components of the standardised features.
 
@@ -138,7 +180,7 @@ def pca(
 
     spark = df.sparkSession
     clean = cut_lineage(clean_features(df, key, features))
-    vec = _vectors(solver_input(standardise(clean, features), key), features)
+    vec = _vectors(solver_input(standardise(clean, features), key, partitions), features)
     model = PCA(k=k, inputCol="features", outputCol="__pc").fit(vec)
     pc = model.pc.toArray()  # features x k
     signs = []

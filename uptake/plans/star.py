@@ -112,8 +112,12 @@ def dim_region(
         .select("Postcode", "State", "Lga", "Area", "MMM_Area", "Region_Type")
         .distinct()
     )
-    names = region_names.select("Lga", "Region").distinct()
-    return postcode_lga.join(names, on=["Lga"], how="left").select(
+    # a postcode without a region matches no name: a second key, by which rows
+    # without a region differ, spreads them instead of sending all to one task
+    spread = F.when(F.col("Lga").isNull(), F.xxhash64("Postcode", "State")).otherwise(F.lit(0).cast("bigint"))
+    # (0 on the names' side, in a form that the optimizer does not fold out of the join)
+    names = region_names.select("Lga", "Region").distinct().withColumn("__spread", F.pmod(F.xxhash64("Lga"), F.lit(1)))
+    return postcode_lga.withColumn("__spread", spread).join(names, on=["Lga", "__spread"], how="left").select(
         "Postcode",
         "State",
         "Lga",

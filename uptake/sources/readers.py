@@ -7,7 +7,7 @@ the job. Headers are cleaned in Python on the column names only.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,21 +43,35 @@ def _na_to_null(c: str):
     return F.when(F.trim(col).isin(list(PANDAS_NA_STRINGS)) | col.isNull(), F.lit(None).cast("string")).otherwise(col)
 
 
+#: Split size and cost of opening a file that put every file, whole, into a partition of its own.
+_ONE_FILE = str(1 << 50)
+
+
 def header_lines(spark: SparkSession, path: str | Sequence[str]) -> dict[str, str]:
     """First line of every file under ``path`` (one row per file reaches the driver).
 
-    Uses the file-source metadata: the first split of a file starts at
-    offset 0, and its first row is the header.
+    Every file is a partition of its own, and its task stops after the first
+    row, so Spark reads the first block of a file and not the rest. A session
+    beside the caller's holds the split settings; files without a row have no
+    header.
     """
+    import pyarrow as pa
+
     paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("f"),
-        F.col("_metadata.file_block_start").alias("o"),
-        F.monotonically_increasing_id().alias("i"),
-        "value",
-    )
-    first = lines.where(F.col("o") == 0).groupBy("f").agg(F.min_by("value", "i").alias("h"))
-    return {r["f"]: r["h"] for r in first.collect()}
+    side = spark.newSession()
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        side.conf.set(name, _ONE_FILE)
+    side.conf.unset("spark.sql.files.maxPartitionNum")
+    side.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    lines = side.read.text(paths).select(F.col("_metadata.file_path").alias("f"), "value")
+    return {r["f"]: r["value"] for r in lines.mapInArrow(first, "f string, value string").collect()}
 
 
 def _split_header(line: str) -> list[str]:

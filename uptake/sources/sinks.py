@@ -27,14 +27,51 @@ def materialise(df: DataFrame, name: str, refresh: bool = True, persist: bool =
     if not persist:
         df.createOrReplaceTempView(name)
         return df.sparkSession.table(name)
-    df.write.mode("overwrite" if refresh else "errorifexists").saveAsTable(name)
+    write_tables({name: df}, refresh)
     return df.sparkSession.table(name)
 
 
+def _swap(spark: SparkSession, name: str, staged: str) -> None:
+    """Give a staged table the name of the one it replaces; the old one comes back if that fails."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        return
+    old = f"{name}__old_{uuid.uuid4().hex}"
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
+
+
 def write_tables(tables: Mapping[str, DataFrame], refresh: bool = True) -> None:
-    """Replace (or create) several managed tables."""
-    for name, df in tables.items():
-        df.write.mode("overwrite" if refresh else "errorifexists").saveAsTable(name)
+    """Replace (or create) several managed tables.
+
+    With ``refresh`` all tables are written under staging names first and
+    renamed only when every write has ended: a write that fails leaves all old
+    tables as they were, and a table may be replaced by a result read from it.
+    Without it an existing table is an error.
+    """
+    if not refresh:
+        for name, df in tables.items():
+            df.write.mode("errorifexists").saveAsTable(name)
+        return
+    staged: dict[str, str] = {}
+    spark = None
+    try:
+        for name, df in tables.items():
+            spark = df.sparkSession
+            staged[name] = f"{name}__staged_{uuid.uuid4().hex}"
+            df.write.mode("errorifexists").saveAsTable(staged[name])
+        for name in list(staged):
+            _swap(spark, name, staged[name])
+            del staged[name]
+    finally:
+        # what a failure left behind
+        for left in staged.values():
+            spark.sql(f"DROP TABLE IF EXISTS {left}")
 
 
 def drop_tables(spark: SparkSession, names: Sequence[str]) -> None:
