@@ -99,17 +99,24 @@ def test_median_of_a_hot_group_is_spread_over_tasks(spark):
 # ------------------------------------------------------------ file headers
 
 
-def test_header_lines_stop_after_the_first_row(spark, tmp_path):
-    """One header per file, whatever the sizes; a row is all that a task hands on."""
-    big = "x" * 99
+def test_header_lines_start_no_scan(spark, tmp_path):
+    """One header per file, of any size, compressed or with a space in its name, and no Spark task to read them."""
+    import gzip
+
     for k in range(5):
-        with open(tmp_path / f"f{k}.csv", "w") as f:
-            f.write(f"h{k},b\n" + (f"{big},1\n" * (20_000 if k == 3 else k)))
+        with open(tmp_path / f"f {k}.csv", "w") as f:
+            f.write(f"h{k},é\n" + ("x" * 99 + ",1\n") * (20_000 if k == 3 else k))
+    with gzip.open(tmp_path / "g.csv.gz", "wt") as f:
+        f.write("packed,b\n1,2\n")
     open(tmp_path / "empty.csv", "w").close()
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.sparkContext.setJobGroup("headers", "headers")
     got = readers.header_lines(spark, str(tmp_path))
-    assert {os.path.basename(k): v for k, v in got.items()} == {f"f{k}.csv": f"h{k},b" for k in range(5)}
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {os.path.basename(k): v for k, v in got.items()} == {**{f"f {k}.csv": f"h{k},é" for k in range(5)}, "g.csv.gz": "packed,b"}
+    assert not jobs
+    read = readers._read_strings(spark, [f for f in got if "f 4" in f], ["h4", "é"])
+    assert read.count() == 4
 
 
 # ------------------------------------------------------------ replaced tables

@@ -7,7 +7,7 @@ the job. Headers are cleaned in Python on the column names only.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,35 +43,37 @@ def _na_to_null(c: str):
     return F.when(F.trim(col).isin(list(PANDAS_NA_STRINGS)) | col.isNull(), F.lit(None).cast("string")).otherwise(col)
 
 
-#: Split size and cost of opening a file that put every file, whole, into a partition of its own.
-_ONE_FILE = str(1 << 50)
+#: Files whose first lines are read at the same time.
+HEADER_READERS = 16
 
 
 def header_lines(spark: SparkSession, path: str | Sequence[str]) -> dict[str, str]:
-    """First line of every file under ``path`` (one row per file reaches the driver).
+    """First line of every file under ``path``; an empty file has none.
 
-    Every file is a partition of its own, and its task stops after the first
-    row, so Spark reads the first block of a file and not the rest. A session
-    beside the caller's holds the split settings; files without a row have no
-    header.
+    Spark lists the files; the first block of each is opened through Spark's
+    file systems and closed after a line, some files at a time, so the bytes
+    read do not grow with the size of the files. (A scan cannot stop early in
+    each file: a task reads its splits to the end, also where Python takes
+    one row of it.)
     """
-    import pyarrow as pa
-
-    paths = [path] if isinstance(path, str) else list(path)
-    side = spark.newSession()
-    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
-        side.conf.set(name, _ONE_FILE)
-    side.conf.unset("spark.sql.files.maxPartitionNum")
-    side.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-
-    lines = side.read.text(paths).select(F.col("_metadata.file_path").alias("f"), "value")
-    return {r["f"]: r["value"] for r in lines.mapInArrow(first, "f string, value string").collect()}
+    from concurrent.futures import ThreadPoolExecutor
+
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(uri: str) -> tuple[str, str | None]:
+        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        stream = file.getFileSystem(conf).open(file)
+        try:
+            codec = codecs.getCodec(file)
+            text = codec.createInputStream(stream) if codec else stream
+            return file.toString(), jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
+        finally:
+            stream.close()
+
+    files = spark.read.text([path] if isinstance(path, str) else list(path)).inputFiles()
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        return {file: line for file, line in pool.map(first, files) if line is not None}
 
 
 def _split_header(line: str) -> list[str]:
