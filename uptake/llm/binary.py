@@ -48,15 +48,21 @@ DOC = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("n", "<u4")])
 CHUNK_IDS = 1 << 20
 
 
+#: Bits of every value of 16 bits.
+_SHORT = np.repeat(np.arange(17, dtype=np.uint8), [1, *(1 << k for k in range(16))])
+
+
 def bit_lengths(values: np.ndarray) -> np.ndarray:
     """Bits of each value: 0 for 0."""
     out = np.zeros(len(values), np.uint8)
     rest = values.astype(np.uint64)
-    for step in (32, 16, 8, 4, 2, 1):
-        big = rest >> np.uint64(step) > 0
-        out += big * np.uint8(step)
-        rest = np.where(big, rest >> np.uint64(step), rest)
-    return out + (rest > 0).astype(np.uint8)
+    widest = int(rest.max(initial=0)).bit_length()
+    for step in (32, 16):
+        if widest > step:
+            big = rest >> np.uint64(step) > 0
+            out += big * np.uint8(step)
+            rest = np.where(big, rest >> np.uint64(step), rest)
+    return out + _SHORT[rest.astype(np.intp)]
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +83,10 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             step = min(have, int(COUNTS[s]) - have)
             widest = np.concatenate((np.maximum(widest[: n - step], widest[step:]) if n > step else widest[:0], np.full(min(step, n), 255, np.uint8)))
             have += step
-        best[(widest <= WIDTHS[s]) & (room >= COUNTS[s])] = s
+        fits = (widest <= WIDTHS[s]) & (room >= COUNTS[s])
+        if not fits.any():
+            break  # the selectors before it hold more ids in fewer bits
+        best[fits] = s
     # a lone id of at most 60 bits needs no escape: it is the first of a pair whose second is absent
     taken = np.append(COUNTS, 1)[best]
     # walk all blocks in step; each cursor jumps by what its word holds

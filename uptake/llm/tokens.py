@@ -88,13 +88,18 @@ class WordTokenizer:
                 numbered.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
         if new:
             self._learn(new)
-        out = []
-        for text, at in zip(texts, numbered):
-            if at is None:
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
-            else:
-                out.append(self.flat[spread(self.starts[at], self.lengths[at])])
-        return out
+        return [
+            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32) if at is None else ids
+            for text, at, ids in zip(texts, numbered, self._of([np.empty(0, np.int64) if at is None else at for at in numbered]))
+        ]
+
+    def _of(self, numbered: list[np.ndarray]) -> list[np.ndarray]:
+        """The ids of each run of word numbers, for all runs at once."""
+        words = np.concatenate(numbered) if numbered else np.empty(0, np.int64)
+        lengths = self.lengths[words]
+        flat = self.flat[spread(self.starts[words], lengths)]
+        before = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum([0, *map(len, numbered)])].tolist()
+        return [flat[s:e] for s, e in zip(before, before[1:])]
 
 
 @cache
