@@ -13,15 +13,21 @@ from uptake.llm.queries import tokenizer_path
 SF = "/root/testdata/sf0.001"
 
 
-def good(text):
+def good(text, lang):
     n, chars, symbols, dup, repeat, failed = brute.quality(text)
     words = brute.WORD.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if brute.WORD.search(x)]
+    known = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyzÀÁÂÄÆÇÈÉÊËÌÍÎÏÑÓÔÖÙÚÛÜßàáâäæçèéêëìíîïñóôöùúûüÿŒœŸªº")
     m = {
-        "n_words": n, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dup, "n_repeat_words": repeat,
-        "n_lines": sum(bool(brute.WORD.search(x)) for x in (text or "").split("\n")),
+        "n_words": n, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dup, "n_repeat_words": repeat, "n_lines": len(lines),
+        "line_chars": sum(map(len, lines)), "dup_line_chars": sum(map(len, lines)) - sum(map(len, set(lines))),
         "n_stop_words": sum(w.lower() in quality.STOP_WORDS for w in words), "n_upper": sum(c.isupper() for w in words for c in w),
     }
-    broken = (m[r.measure] > m.get(r.per, 1) * r.above if r.above is not None else m[r.measure] < m.get(r.per, 1) * r.below for r in quality.RULES if n >= r.from_words)
+    foreign = sum(c.isalpha() and c not in known for w in words for c in w) > chars * quality.FOREIGN or (lang or "en").lower() not in quality.LANGUAGES
+    broken = (
+        (m[r.measure] > m.get(r.per, 1) * r.above if r.above is not None else m[r.measure] < m.get(r.per, 1) * r.below) and not (r.unless_foreign and foreign)
+        for r in quality.RULES if n >= r.from_words and len(lines) >= r.from_lines
+    )
     return not failed and not any(broken)
 
 
@@ -37,7 +43,8 @@ def masked(text):
 
 
 def test_pipeline(spark, small, small_rows):
-    rows = [(i, t) for i, t in small_rows if good(t)]
+    lang = {r.doc_id: r.lang for r in small.select("doc_id", "lang").collect()}
+    rows = [(i, t) for i, t in small_rows if good(t, lang[i])]
     component = brute.near_components(rows, 5, 80)
     rows = [(i, t) for i, t in rows if component[i] == i]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

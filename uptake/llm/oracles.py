@@ -7,7 +7,7 @@ counted by grouping, and chat lengths follow from the escapes alone.
 
 from __future__ import annotations
 
-from uptake.llm.quality import RULES, STOP_WORDS
+from uptake.llm.quality import _NO_FOREIGN, FOREIGN, LANGUAGES, RULES, STOP_WORDS
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _FOLDED = (
@@ -50,12 +50,15 @@ FROM chat
 def _broken(rule) -> str:
     base = rule.per or "1"
     test = f"{rule.measure} > {base} * {rule.above}::DOUBLE" if rule.above is not None else f"{rule.measure} < {base} * {rule.below}::DOUBLE"
-    return f"(n_words >= {rule.from_words} AND {test})"
+    if rule.unless_foreign:
+        listed = ", ".join(f"'{x}'" for x in LANGUAGES)
+        test += f" AND n_foreign <= word_chars * {FOREIGN}::DOUBLE AND coalesce(lower(lang) IN ({listed}), TRUE)"
+    return f"(n_words >= {rule.from_words} AND n_lines >= {rule.from_lines} AND {test})"
 
 
 OP5 = rf"""
 WITH texts AS (
-  SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
+  SELECT doc_id, lang, coalesce(text, '') AS t, {_WORDS} AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ),
@@ -67,9 +70,12 @@ covered AS (
   SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS word FROM counted WHERE times > 1) GROUP BY doc_id
 ),
 measured AS (
-  SELECT texts.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+  SELECT texts.doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
     len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    length(array_to_string(lines, '')) AS line_chars,
+    length(array_to_string(lines, '')) - length(array_to_string(list_distinct(lines), '')) AS dup_line_chars,
+    length(regexp_replace(array_to_string(w, ''), '{_NO_FOREIGN}', '', 'g')) AS n_foreign,
     coalesce(covered.n, 0) AS n_repeat_words,
     len(list_filter(w, lambda x: lower(x) IN ({", ".join(f"'{x}'" for x in STOP_WORDS)}))) AS n_stop_words,
     length(regexp_replace(t, '\P{{Lu}}+', '', 'g')) AS n_upper

@@ -11,7 +11,7 @@ columns are ignored by the measures and kept by :func:`keep`.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,10 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """Reject when ``measure`` exceeds ``above`` or falls under ``below`` times ``per``, in texts of ``from_words`` words."""
+    """Reject when ``measure`` exceeds ``above`` or falls under ``below`` times ``per``, in texts of ``from_words`` words and ``from_lines`` lines.
+
+    With ``unless_foreign`` only texts that may be in a language of the list are rejected.
+    """
 
     name: str
     measure: str
@@ -35,6 +38,7 @@ class Rule:
     above: float | None = None
     below: float | None = None
     from_words: int = 0
+    from_lines: int = 0
     unless_foreign: bool = False
 
 
@@ -45,14 +49,11 @@ RULES = (
     Rule("word_length_low", "word_chars", "n_words", below=2.5, from_words=10),
     Rule("word_length_high", "word_chars", "n_words", above=12.0, from_words=10),
     Rule("symbols", "n_symbols", "n_words", above=0.10),
-    Rule("stop_words", "n_stop_words", "n_words", below=0.02, from_words=50),
+    Rule("stop_words", "n_stop_words", "n_words", below=0.02, from_words=50, unless_foreign=True),
     Rule("shouting", "n_upper", "word_chars", above=0.40, from_words=10),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", above=0.30),
+    Rule("duplicate_lines", "dup_line_chars", "line_chars", above=0.30, from_lines=10),
 )
 
-#: The table of :func:`keep`: a lack of stop words is held only against texts that may be in a language of the list.
-KEEP_RULES = tuple(replace(r, unless_foreign=r.name == "stop_words") for r in RULES)
-
 #: Languages of ``STOP_WORDS``, and the characters that are no letters beyond theirs.
 LANGUAGES = ("en", "fr", "de", "es")
 _NO_FOREIGN = r"[\P{L}A-Za-zÀ-ÂÄÆ-ÏÑÓÔÖÙ-Üß-âäæ-ïñóôöù-üÿŒœŸªº]+"
@@ -95,8 +96,8 @@ def repeat_words(words: Column, n_words: Column, n: int = 5) -> Column:
     return F.when(n_words >= n + 1, _let(hashes, counted)).otherwise(F.lit(0)).cast("long")
 
 
-def measures(text: Column, for_keep: bool = False) -> Column:
-    """All measures of a text, as one struct; those that only ``KEEP_RULES`` ask for with ``for_keep``."""
+def measures(text: Column) -> Column:
+    """All measures of a text, as one struct."""
     t = F.coalesce(text.cast("string"), F.lit(""))
     words = F.filter(F.split(t, _SPACE), lambda w: w != "")
     dense = F.regexp_replace(t, _SPACE, "")
@@ -112,10 +113,12 @@ def measures(text: Column, for_keep: bool = False) -> Column:
                 F.length(F.regexp_replace(v["dense"], r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
                 F.size(v["lines"]).cast("long").alias("n_lines"),
                 (F.size(v["lines"]) - F.size(F.array_distinct(v["lines"]))).cast("long").alias("n_dup_lines"),
+                F.length(F.array_join(v["lines"], "")).cast("long").alias("line_chars"),
+                (F.length(F.array_join(v["lines"], "")) - F.length(F.array_join(F.array_distinct(v["lines"]), ""))).cast("long").alias("dup_line_chars"),
                 repeat_words(w, v["n"]).alias("n_repeat_words"),
                 F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
                 F.length(F.regexp_replace(v["dense"], r"\P{Lu}+", "")).cast("long").alias("n_upper"),
-                *((F.length(F.regexp_replace(v["dense"], _NO_FOREIGN, "")).cast("long").alias("n_foreign"),) if for_keep else ()),
+                F.length(F.regexp_replace(v["dense"], _NO_FOREIGN, "")).cast("long").alias("n_foreign"),
             ),
         )
 
@@ -132,7 +135,7 @@ def verdict(m: Column, rules=RULES, lang: Column | None = None) -> Column:
             test = test & (m["n_foreign"] <= m["word_chars"] * FOREIGN)
             if lang is not None:
                 test = test & F.coalesce(F.lower(lang).isin(*LANGUAGES), F.lit(True))
-        return F.when(test & (m["n_words"] >= r.from_words), F.lit(r.name))
+        return F.when(test & (m["n_words"] >= r.from_words) & (m["n_lines"] >= r.from_lines), F.lit(r.name))
 
     return F.array_compact(F.array(*(broken(r) for r in rules)))
 
@@ -141,21 +144,26 @@ def base_failed(m: Column) -> Column:
     return (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
 
 
+def _lang(docs: DataFrame) -> Column | None:
+    return F.col("lang").cast("string") if "lang" in docs.columns else None
+
+
 def score(docs: DataFrame) -> DataFrame:
-    """Measures, ``base_failed``, rejecting rules and ``kept`` per document."""
+    """Measures, ``base_failed``, rejecting rules and ``kept`` per document; ``lang``, where there is one, names the language."""
     m = F.col("quality")
+    lang = _lang(docs)
     return (
-        docs.select("doc_id", measures(F.col("text")).alias("quality"))
-        .select("doc_id", "quality.*", base_failed(m).alias("base_failed"), verdict(m).alias("rejected_by"))
+        docs.select("doc_id", measures(F.col("text")).alias("quality"), (F.lit(None).cast("string") if lang is None else lang).alias("written_in"))
+        .select("doc_id", "quality.*", base_failed(m).alias("base_failed"), verdict(m, RULES, F.col("written_in")).alias("rejected_by"))
         .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
     )
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents that no rule of ``KEEP_RULES`` rejects, with their columns; ``lang``, where there is one, names the language.
+    """The documents that :func:`score` keeps, with their columns.
 
     The measures are bound inside the condition: a filter over a measured
     column would be pushed to the scan with a copy of all measures per rule.
     """
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else None
-    return docs.filter(_let(measures(F.col("text"), for_keep=True), lambda m: ~base_failed(m) & (F.size(verdict(m, KEEP_RULES, lang)) == 0)))
+    lang = _lang(docs)
+    return docs.filter(_let(measures(F.col("text")), lambda m: ~base_failed(m) & (F.size(verdict(m, RULES, lang)) == 0)))
