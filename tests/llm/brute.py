@@ -274,3 +274,50 @@ def secret_spans(text, classes, allowed, alphabets):
         spans += [f for f in found if not any(s <= f[1] and f[2] <= e for _, s, e in spans)]
     rank = ["assign", "access", "hex", *(c[0] for c in classes)]
     return sorted(spans, key=lambda x: (x[1], rank.index(x[0]), x[2]))
+
+
+class KneserNey:
+    """Interpolated Kneser-Ney over padded words, straight from the definition with plain counts."""
+
+    def __init__(self, texts, order=4, edge="\x02", unseen=1 / 65536):
+        self.order, self.edge, self.unseen = order, edge, unseen
+        top = Counter()
+        for t in texts:
+            for w in self.words(t):
+                w = edge * (order - 1) + w + edge
+                top.update(w[i : i + order] for i in range(len(w) - order + 1))
+        self.levels = {order: top}
+        for n in range(order - 1, 0, -1):
+            self.levels[n] = Counter(g[1:] for g in self.levels[n + 1])
+        self.discounts, self.totals, self.kinds = {}, {}, {}
+        for n, level in self.levels.items():
+            often = Counter(level.values())
+            self.discounts[n] = often[1] / (often[1] + 2 * often[2]) if often[1] and often[2] else 0.5
+            self.totals[n], self.kinds[n] = Counter(), Counter()
+            for g, c in level.items():
+                self.totals[n][g[:-1]] += c
+                self.kinds[n][g[:-1]] += 1
+
+    @staticmethod
+    def words(text):
+        return re.findall(r"[^\W\d_]+", text.lower()) if text else []
+
+    def p(self, gram):
+        n = len(gram)
+        if not n:
+            return self.unseen
+        total = self.totals[n][gram[:-1]]
+        lower = self.p(gram[1:])
+        if not total:
+            return lower
+        c, d = self.levels[n][gram], self.discounts[n]
+        return max(c - d, 0) / total + d * self.kinds[n][gram[:-1]] / total * lower
+
+    def entropy(self, text):
+        total, n = 0.0, 0
+        for w in self.words(text):
+            w = self.edge * (self.order - 1) + w + self.edge
+            for i in range(len(w) - self.order + 1):
+                total -= math.log(self.p(w[i : i + self.order]))
+                n += 1
+        return total / n
