@@ -35,6 +35,42 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: Elements that a running value is carried over in one array, and characters of a piece that a text is cut from.
+_RUN, _PIECE = 128, 1024
+
+
+def _running(values: Column, op) -> Column:
+    """The fold by ``op`` (associative, from 0) of all elements before each one.
+
+    An accumulator that grows by an element copies what it holds; so runs of
+    ``_RUN`` elements are folded apart, each from the fold of the runs before.
+    """
+    zero = F.lit(0).cast("long")
+
+    def scan(some: Column, start: Column) -> Column:
+        empty = F.array().cast("array<bigint>")
+        step = lambda acc, x: F.struct(op(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(some, F.struct(start.alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+
+    def of(all_: Column) -> Column:
+        n = F.ceil(F.size(all_) / _RUN).cast("int")
+        runs = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.slice(all_, k * _RUN + 1, F.lit(_RUN)))
+        folded = lambda rs: scan(F.transform(rs, lambda r: F.aggregate(r, zero, op)), zero)
+        return F.when(F.size(all_) <= _RUN, scan(all_, zero)).otherwise(_let(runs, lambda rs: F.flatten(F.zip_with(rs, folded(rs), scan))))
+
+    return _let(values, of)
+
+
+def _cut(pieces: Column, start: Column, end: Column) -> Column:
+    """Characters ``start`` to ``end`` of a text that is cut into ``pieces`` of ``_PIECE`` characters."""
+    first, last = F.floor(start / _PIECE).cast("int"), F.floor(end / _PIECE).cast("int")
+    left, right = (start % _PIECE).cast("int"), (end % _PIECE).cast("int")
+    of = lambda k: F.coalesce(F.get(pieces, k), F.lit(""))
+    within = F.substr(of(first), left + 1, right - left)
+    across = F.concat(F.substr(of(first), left + 1), F.array_join(F.slice(pieces, first + 2, last - first - 1), ""), F.substr(of(last), F.lit(1), right))
+    return F.when(start >= end, F.lit("")).when(first == last, within).otherwise(across)
+
+
 def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
@@ -121,13 +157,9 @@ def _spans(text: Column, kind: Kind) -> Column:
 
     def place(v: Column) -> Column:
         matches, pieces = v["matches"], v["pieces"]
-        lengths = F.transform(matches, lambda m, i: F.struct(F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("n")))
-        ends = F.aggregate(
-            lengths,
-            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-            lambda acc, x: F.struct((acc["at"] + x["gap"] + x["n"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"] + x["gap"])).alias("starts")),
-            lambda acc: acc["starts"],
-        )
+        steps = F.transform(matches, lambda m, i: (F.length(F.get(pieces, i)) + F.length(m)).cast("long"))
+        # a match begins after all matches and pieces before it and the piece of its own place
+        starts = F.transform(_running(steps, lambda a, x: a + x), lambda at, i: at + F.length(F.get(pieces, i)))
 
         def judged(starts: Column) -> Column:
             def one(m: Column, i: Column) -> Column:
@@ -139,7 +171,7 @@ def _spans(text: Column, kind: Kind) -> Column:
 
             return F.filter(F.transform(matches, one), lambda s: s.isNotNull() & (s["score"] >= THRESHOLD))
 
-        return _let(ends, judged)
+        return _let(starts, judged)
 
     parts = F.struct(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("matches"), F.split(text, kind.pattern, -1).alias("pieces"))
     found = F.when(text.rlike(kind.hint) & text.rlike(kind.pattern), _let(parts, place))
@@ -173,15 +205,22 @@ def mask(docs: DataFrame) -> DataFrame:
     found = find(docs.select(F.struct(*columns).alias("doc"), F.col("text").cast("string").alias("searched")), "searched")
     text = F.col("searched")
     spans = F.sort_array(F.transform(F.flatten(F.array(*(F.col(f"pii_{k.name}") for k in KINDS))), lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    cut = F.aggregate(
-        spans,
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, (acc["at"] + 1).cast("int"))),
-    )
-    masked = found.select("doc", F.when(F.size(spans) > 0, cut).otherwise(text).alias("masked"))
+
+    def cut(v: Column) -> Column:
+        """The text between the ends so far and each span that begins after them, then the span's kind; the rest at last."""
+        ends = F.transform(v["spans"], lambda s: s["end"])
+
+        def joined(before: Column) -> Column:
+            def one(s: Column, at: Column) -> Column:
+                return F.when(s["start"] >= at, F.concat(_cut(v["pieces"], at, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(F.lit(""))
+
+            rest = _cut(v["pieces"], F.array_max(ends), v["n"])
+            return F.concat(F.array_join(F.zip_with(v["spans"], before, one), ""), rest)
+
+        return _let(_running(ends, lambda a, x: F.greatest(a, x)), joined)
+
+    parts = F.struct(spans.alias("spans"), F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{_PIECE}}}"), F.lit(0)).alias("pieces"), F.length(text).cast("long").alias("n"))
+    any_span = sum((F.size(f"pii_{k.name}") for k in KINDS), F.lit(0)) > 0
+    masked = found.select("doc", F.when(any_span, _let(parts, cut)).otherwise(text).alias("masked"))
     new = {"text": F.col("masked"), "n_chars": F.when(F.col("masked").isNull(), F.col("doc.n_chars")).otherwise(F.length("masked").cast("long")) if "n_chars" in docs.columns else None}
     return masked.select(*(new[c].alias(c) if new.get(c) is not None else F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
