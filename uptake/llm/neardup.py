@@ -20,8 +20,10 @@ parities that bound the difference of two sets from below; a row comes out
 only for a pair that may be linked. So a group of thousands of copies costs a row per member
 and band, while a link that the pivot misses is still found.
 
-A pair at the threshold shares no band with odds of (1 - 0.85^6)^32 = 3e-7, and
-the estimate may miss it by five standard deviations.
+Bands follow the threshold t: as long as 256 registers allow while a pair at t
+shares no band with odds of at most MISSED, (1 - t^rows)^bands. That is 32 bands
+of 6 at 0.85 (2.7e-7) and 38 of 5 at 0.80 (2.8e-7). The bits grant a pair 5.5
+standard deviations and the estimate five.
 
 Defined results: a text without words has no shingles and is linked with
 nothing, a text of fewer than ``n`` words has its word sequence as one; a
@@ -50,7 +52,8 @@ from uptake.llm.store import stored
 from uptake.llm.words import Index, gram_hashes, mix, word_hashes
 
 REGISTERS, MANTISSA = 256, 10
-BANDS, ROWS = 32, 6
+#: Odds at which a pair at the threshold may share no band.
+MISSED = 3e-7
 #: Members up to which the pairs of a band's group are compared at once.
 AT_ONCE = 64
 #: For each register the order in which it looks for one that is not empty.
@@ -97,14 +100,21 @@ def filled(row: np.ndarray) -> np.ndarray:
     return out
 
 
-def signature(row: np.ndarray) -> tuple[list[int], int, int]:
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows a band: the longest rows whose bands, at odds of MISSED, fit the registers."""
+    t = percent / 100
+    fitting = ((math.ceil(math.log(MISSED) / math.log1p(-(t**rows))), rows) for rows in range(1, 33)) if t < 1 else [(1, REGISTERS)]
+    return max((x for x in fitting if x[0] * x[1] <= REGISTERS), key=lambda x: x[1])
+
+
+def signature(row: np.ndarray, bands: int, rows: int) -> tuple[list[int], int, int]:
     """Hashes of the bands, and the lowest bits of 128 registers as two integers."""
     row = filled(row)
-    raw = row[: BANDS * ROWS].tobytes()
-    width = 2 * ROWS
-    bands = [xxhash.xxh64_intdigest(raw[i * width : (i + 1) * width], i) - (1 << 63) for i in range(BANDS)]
+    raw = row[: bands * rows].tobytes()
+    width = 2 * rows
+    hashed = [xxhash.xxh64_intdigest(raw[i * width : (i + 1) * width], i) - (1 << 63) for i in range(bands)]
     bits = np.packbits((row[:128] & 1).astype(np.uint8)).view(np.int64)
-    return bands, int(bits[0]), int(bits[1])
+    return hashed, int(bits[0]), int(bits[1])
 
 
 def _zero_odds(n: np.ndarray) -> np.ndarray:
@@ -138,16 +148,18 @@ def class_of(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def sketches(docs: DataFrame, n: int) -> DataFrame:
+def sketches(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """``doc_id, text_key, n_shingles, class (128-bit hash of the set), registers, bands, bits_1, bits_2, odd`` per row of ``docs``."""
 
+    shape = banding(percent)
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for s in range(0, part.num_rows, 1024):
                 some = part.slice(s, 1024)
                 sets = shingle_sets(some.column(1).to_pylist(), n)
                 rows = [registers(x) for x in sets]
-                bands, one, two = zip(*map(signature, rows))
+                bands, one, two = zip(*(signature(r, *shape) for r in rows))
                 yield pa.RecordBatch.from_arrays(
                     [
                         some.column(0), some.column(2), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(class_of, sets)), pa.binary()),
@@ -270,7 +282,7 @@ def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     A class is numbered where it is stored, so that it is named by its set and
     not by a doc_id; ``first`` is the row with its smallest doc_id.
     """
-    rows = stored(sketches(docs, n), "sketches")
+    rows = stored(sketches(docs, n, percent), "sketches")
     named = rows.filter("doc_id is not null and n_shingles > 0")
     facts = (F.first(c).alias(c) for c in ("registers", "bands", "bits_1", "bits_2", "odd"))
     grouped = named.groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.first("n_shingles").alias("n"), *facts)
