@@ -7,7 +7,8 @@ once, and hits are mapped back to words and code points of the original.
 
 The windows are broadcast only within PATTERN_BYTES; a larger benchmark is cut
 into parts of that size, and the texts pass one automaton after another with
-their hits carried along, so memory stays bounded and no window is left out.
+their hits carried along in a stored table. The driver and a worker hold one
+part at a time, so memory stays bounded and no window is left out.
 
 Defined results: a null text or item has no words; an item of no words has no
 window; a null item_id counts as an item named by the empty string; repeated
@@ -27,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from uptake.llm.store import stored
+
 #: Bytes of windows that one broadcast may hold.
 PATTERN_BYTES = 32 << 20
 #: Every byte of UTF-8 that is part of a word stays, all others separate (ASCII letters lower-cased).
@@ -100,14 +103,16 @@ def find_hits(made, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]
     return _merge(spans), items
 
 
-def parts_of(patterns: DataFrame) -> Iterator[list[tuple[bytes, list[str]]]]:
-    """Lists of (pattern, items) of at most PATTERN_BYTES each."""
+def parts_of(patterns: DataFrame) -> Iterator[tuple[bool, list[tuple[bytes, list[str]]]]]:
+    """Lists of (pattern, items) of at most PATTERN_BYTES each, read one after the other, and whether it is the last."""
     grouped = patterns.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("items"))
     total = grouped.agg(F.sum(F.length("pattern") + F.length(F.concat_ws(",", "items")))).first()[0] or 0
     n = max(1, -(-2 * total // PATTERN_BYTES))
+    if n > 1:
+        grouped = stored(grouped, "patterns")
     for k in range(n):
         mine = grouped if n == 1 else grouped.filter(F.pmod(F.xxhash64("pattern"), F.lit(n)) == k)
-        yield [(bytes(r["pattern"]), r["items"]) for r in mine.collect()]
+        yield k == n - 1, [(bytes(r["pattern"]), r["items"]) for r in mine.collect()]
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, carry: list[str] | None = None) -> DataFrame:
@@ -157,10 +162,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, carry: list[st
 
         return run
 
-    *before, final = [spark.sparkContext.broadcast((uuid.uuid4().hex, p)) for p in parts_of(windows(benchmark, window))]
-    for shared in before:
-        rows = rows.mapInArrow(passing(shared), schema)
-    done = rows.mapInArrow(last(final), f"row {schema['row'].dataType.simpleString()}, {RESULT}")
+    for is_last, part in parts_of(windows(benchmark, window)):
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, part))
+        if not is_last:
+            # the hits of a pass are written, so that its automaton can go before the next part is read
+            rows = stored(rows.mapInArrow(passing(shared), schema), "hits")
+            shared.destroy()
+    done = rows.mapInArrow(last(shared), f"row {schema['row'].dataType.simpleString()}, {RESULT}")
     return done.select("row.*", *(c for c in done.columns if c != "row"))
 
 
