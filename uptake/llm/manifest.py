@@ -120,7 +120,8 @@ def manifest(docs: DataFrame, carry: Mapping[str, Column] | None = None) -> Data
     tree = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
     extra = dict(carry or {})
     leaves = docs.select(tree.alias("tree"), F.col("doc_id"), F.col("lang"), leaf().alias("leaf"), *(c.alias(k) for k, c in extra.items()))
-    rows = in_ranges(leaves, [F.col("tree"), F.col("doc_id").asc_nulls_first(), F.col("leaf")], "leaves")
+    # written before they are sorted: the sort samples its ranges, and texts are hashed once
+    rows = in_ranges(stored(leaves, "hashed"), [F.col("tree"), F.col("doc_id").asc_nulls_first(), F.col("leaf")], "leaves")
     nodes = places(rows, "tree", "leaf_runs").withColumn("h", F.col("leaf"))
     return climb(nodes, _joined).select("doc_id", "lang", "pos", "leaf", "path", "subroot", "root", *extra)
 
