@@ -178,6 +178,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 5, min_words: in
     gain = gains(bucket_totals(rows), bucket_totals(sliced(target.select("text"), "target")))
     scored = weights(rows, gain).select("doc_id", "n_features", "weight", (F.col("weight") + gumbel(F.col("doc_id"), seed)).alias("score"), (F.col("n_words") >= min_words).alias("eligible"))
     order = [F.col("eligible").desc(), F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("n_features")]
-    ranked = places(in_ranges(scored, order, "scores"), "eligible", "runs")
+    # written before they are sorted: the sort samples its ranges, and documents are weighed once
+    ranked = places(in_ranges(stored(scored, "weights"), order, "scores"), "eligible", "runs")
     drawn = F.col("eligible") & (F.col("pos") < F.floor(percent * F.col("n") / 100))
     return ranked.select("doc_id", "n_features", "weight", "score", F.when(drawn, F.col("pos") + 1).alias("rank"), "eligible")
