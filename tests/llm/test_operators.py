@@ -96,6 +96,15 @@ def test_lm(which, request, small_rows):
     same(rounded(got), rounded(brute.lm(rows, 0.1, (50.0, 5.0))))
 
 
+def test_lm_with_the_registered_parameters(small, small_rows):
+    import inspect
+
+    alpha, mu = (inspect.signature(lm.score).parameters[k].default for k in ("alpha", "mu"))
+    got = lm.score(small).collect()
+    rounded = lambda rs: [(*r[:5], round(r[5], 6), round(r[6], 6)) for r in rs]
+    same(rounded(got), rounded(brute.lm(small_rows, alpha, mu)))
+
+
 def test_lm_many_batches(small, small_rows, monkeypatch):
     monkeypatch.setattr(lm, "BATCH_BYTES", 20_000)
     got = lm.score(small, 0.1, (50.0, 5.0)).collect()
@@ -159,18 +168,34 @@ def test_quality(which, request, small_rows):
     same(((r.doc_id,) for r in kept.select("doc_id").collect()), ((r.doc_id,) for r in got if r.kept))
 
 
-def test_quality_keeps_good_documents(spark):
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    got = quality.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).join(labels, "doc_id").collect()
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_quality_keeps_good_documents(spark, sf):
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet")
+    got = quality.score(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")).join(labels, "doc_id").collect()
     wrong = [r for r in got if r.quality == 1 and not r.kept and not r.base_failed]
     assert not wrong, wrong[:3]
 
 
+def test_quality_of_repeated_lines(spark):
+    """Repeated lines reject a text by the characters they hold, and only in a text of ten lines."""
+    line = lambda k: f"this is line number {k} of the text and it says that {'abcdefghij'[k % 10] * 3}{k} is here"
+    texts = {
+        1: "\n".join([line(0), line(1), line(1)]),  # few lines
+        2: "\n".join([line(k) for k in range(9)] + ["-"] * 9),  # many short repeats
+        3: "\n".join([line(k) for k in range(6)] + [line(0), line(2), line(4), line(5)]),  # four long repeats of ten
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.score(docs).collect()}
+    assert [("duplicate_lines" in got[k].rejected_by) for k in (1, 2, 3)] == [False, False, True]
+    lines = texts[3].split("\n")
+    assert (got[3].line_chars, got[3].dup_line_chars) == (sum(map(len, lines)), sum(map(len, lines)) - sum(map(len, set(lines))))
+
+
 def test_quality_stage_keeps_languages_without_stop_words(spark):
     prose = lambda words: " ".join(f"{words[i % len(words)]}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120))
     texts = {3: prose(["слово", "жизнь", "город"]), 4: prose(["źdźbło", "książka", "łąka"]), 5: prose(["zork", "blim"]), 6: prose(["zork", "blim"])}
     docs = spark.createDataFrame([(i, t, {6: "id"}.get(i)) for i, t in texts.items()], "doc_id long, text string, lang string")
-    assert {r.doc_id for r in quality.keep(docs).collect()} == {3, 4, 6}
+    assert {r.doc_id for r in quality.keep(docs).collect()} == {3, 4, 6} == {r.doc_id for r in quality.score(docs).collect() if r.kept}
 
 
 def test_language_id(spark, hostile):
@@ -189,17 +214,58 @@ def test_language_id(spark, hostile):
     assert all((r.lang_pred == "und") == (not any(c.isalpha() for c in texts[r.doc_id] or "")) for r in odd)
 
 
+@pytest.mark.parametrize("model_bytes", [langid.MODEL_BYTES, 1])
+def test_language_id_against_brute_force(spark, small, small_rows, monkeypatch, model_bytes):
+    """Entropies and languages as plain Kneser-Ney gives them; twins tie, a language of few rows teaches with all, groups of one language."""
+    monkeypatch.setattr(langid, "MODEL_BYTES", model_bytes)
+    lang = {r.doc_id: r.lang for r in small.select("doc_id", "lang").collect()}
+    rows = [(i, t, lang[i]) for i, t in small_rows]
+    rows += [(1000 + k, t, "zz") for k, (_, t) in enumerate(brute.hostile_rows()[:24])]  # under 25 teachers
+    taught = [i for i in range(2000, 2100) if zlib.crc32(str(i).encode()) % 4 != 2][:12]  # equal counts for both twins
+    rows += [(i, "tw\u0131n \u4e2d\u6587 \U00010400x words", f"twin{2 - k % 2}") for k, i in enumerate(taught)]
+    rows += [(i, "\u4e2d\u6587 tw\u0131n", None) for i in (3000, 3001, None)] + [(4000, "... 12", "zz"), (4001, None, "zz"), rows[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    teachers = {}
+    for r in langid._sample(docs).collect():
+        if r.role != 1:
+            teachers.setdefault(r.lang, []).append(r.text)
+    models = {x: brute.KneserNey(ts) for x, ts in sorted(teachers.items())}
+    assert {"zz", "twin1", "twin2"} < set(models)
+    expected = []
+    for i, t, _ in rows:
+        if any(c.isalpha() for c in t or ""):
+            e = {x: m.entropy(t) for x, m in models.items()}
+            least = min(e.values())
+            expected.append((i, next(x for x in sorted(e) if e[x] - least < 1e-12), round(least, 6)))
+        else:
+            expected.append((i, "und", None))
+    got = langid.predict(docs).collect()
+    same(((r.doc_id, r.lang_pred, r.entropy and round(r.entropy, 6)) for r in got), expected)
+    assert any(r.lang_pred == "twin1" for r in got) and not any(r.lang_pred == "twin2" for r in got)
+
+
 def test_language_id_without_teachers(small):
     got = langid.predict(small.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {(r.lang_pred, r.score) for r in got} == {("und", 0.0)}
 
 
-def test_kneser_ney_is_proper():
+def _kneser_ney(spark, counts):
+    rows = spark.createDataFrame([("x", g, n) for g, n in counts.items()], "lang string, gram string, n long")
+    probabilities, weights = langid.kneser_ney(rows)
+    probability, backoff = ([{} for _ in range(langid.ORDER)] for _ in range(2))
+    for r in probabilities.collect():
+        probability[r["size"] - 1][r.gram] = r.p
+    for r in weights.collect():
+        backoff[r["size"]][r.gram] = r.weight
+    return probability, backoff
+
+
+def test_kneser_ney_is_proper(spark):
     counts = Counter()
     for w in ("abba", "abc", "cab", "bab"):
         w = langid.EDGE * (langid.ORDER - 1) + w + langid.EDGE
         counts.update(w[i : i + langid.ORDER] for i in range(len(w) - langid.ORDER + 1))
-    probability, backoff = langid.kneser_ney(counts)
+    probability, backoff = _kneser_ney(spark, counts)
     symbols = [g for g in probability[0]]
     for n in range(2, langid.ORDER + 1):
         for h in backoff[n - 1]:
@@ -265,6 +331,35 @@ def test_one_id_with_several_texts(spark, monkeypatch, at_once):
     same(left, [*rows[:6], rows[11], rows[13], rows[15]])
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_recall_at_the_threshold(spark, percent):
+    """2000 pairs of a Jaccard similarity from the threshold to 0.03 above it: all pass the bands, the bits and the estimate."""
+    assert neardup.banding(85) == (32, 6) and neardup.banding(80) == (38, 5)
+    r, t = np.random.default_rng(percent), percent / 100
+    shape, sets, pairs = neardup.banding(percent), [], []
+    for k in range(2000):
+        size = int(r.choice([30, 60, 150, 400, 2000]))
+        share = t + 0.03 * r.random()
+        common = -(-int(2 * size * share * 1000 / (1 + share)) // 1000)
+        pool = np.unique(r.integers(1, 2**64 - 1, 2 * size + 50, np.uint64))
+        r.shuffle(pool)
+        a, b = np.sort(pool[:size]), np.sort(np.concatenate((pool[:common], pool[size : 2 * size - common])))
+        if 100 * common >= percent * (2 * size - common):
+            pairs.append(len(sets))
+            sets += [a, b]
+    assert len(pairs) > 1500
+    rows = [neardup.registers(x) for x in sets]
+    signed = [neardup.signature(x, *shape) for x in rows]
+    for k in pairs:
+        assert set(signed[k][0]) & set(signed[k + 1][0])
+    table = [(len(sets[k]), len(sets[k + 1]), *signed[k][1:], *signed[k + 1][1:]) for k in pairs]
+    facts = spark.createDataFrame(table, "n_1 long, n_2 long, bits_1_1 long, bits_2_1 long, bits_1_2 long, bits_2_2 long")
+    assert facts.filter(~neardup._may_link(percent)).count() == 0
+    n = [np.array([len(sets[k + side]) for k in pairs], float) for side in (0, 1)]
+    share, used = neardup.estimate(np.array([rows[k] for k in pairs]), np.array([rows[k + 1] for k in pairs]), *n)
+    assert (share >= t - 5 * np.sqrt(t * (1 - t) / np.maximum(used, 1))).all()
+
+
 def test_estimate_follows_jaccard():
     r = np.random.default_rng(5)
     pool = r.integers(0, 2**63, 4000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -305,6 +400,37 @@ def test_pii_checks_and_mask(spark):
     assert out[1].text == "iban [IBAN] ok" and out[6].text is None and out[6].n_chars == 9 and out[4].text == texts[4]
 
 
+def test_pii_of_many_spans_takes_time_in_proportion(spark):
+    """Cutting a text at its spans: twice the spans, about twice the time, and the text as plain Python cuts it."""
+    import time
+
+    def run(n):
+        text = " ".join(f"é{k} bob{k}@mail.example.com 10.0.{k % 300}.7" for k in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        got = pii.mask(docs).first().text
+        return got, time.perf_counter() - start
+
+    run(100)
+    (small, few), (large, many) = run(8_000), run(16_000)
+    for n, got in ((8_000, small), (16_000, large)):
+        assert got == " ".join(f"é{k} [EMAIL] " + ("[IP]" if k % 300 < 256 else f"10.0.{k % 300}.7") for k in range(n))
+    assert many < 2.5 * few + 1
+
+
+def test_pii_of_overlapping_spans(spark):
+    texts = ["+1 4111 1111 1111 1111 x", "a 4111 1111 1111 1111@b.co", "10.0.0.1@host.example 1.2.3.4.5.6.7.8 +49 (30) 1.2.3.4 99"] * 400
+    text = "\U0001f600 ".join(texts)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = [s.split(":") for s in pii.report(docs).first().spans.split(",")]
+    out, at = [], 0
+    for start, end, kind in sorted((int(s), int(e), k) for k, s, e in spans):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    assert pii.mask(docs).first().text == "".join(out) + text[at:]
+
+
 def test_pii_numbers_before_words_and_long_tokens(spark):
     ibans = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"]
     texts = [f"IBAN {i}{end}" for i in ibans for end in (" BIC CAIXESBB", " EUR", " 100", " 1234 5678", " now", ".", "")] + [f"konto {i.replace(' ', '')} BIC" for i in ibans]
