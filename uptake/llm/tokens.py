@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache, lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +27,17 @@ class WordTokenizer:
     For a tokenizer whose pre-tokenizer never joins text across white space
     and which lower-cases, the ids of a text are those of its words in turn.
     A word goes through the tokenizer's normaliser, pre-tokenizer and merges
-    once per worker; lower-case Latin letters with ASCII marks behind, which
-    those two leave alone but for the cut between them, go to the merges at
-    once. Only ASCII words are lower-cased before that: the normaliser composes
-    letters and marks first, and some compose in lower case only. Texts with ``<|``, which could hold the string of a special token,
-    go through the tokenizer whole.
+    once per worker. Latin-1 letters with ASCII marks behind take a shorter
+    way: the normaliser only lower-cases them, one letter each, and the
+    pre-tokenizer only cuts between the two, so the letters in lower case go to
+    the merges at once, equal ones of a call together and words seen before not again. All other words go the
+    whole way as written: the normaliser composes letters and marks before it
+    lower-cases, and some compose in lower case only. Texts with ``<|``, which
+    could hold the string of a special token, go through the tokenizer whole.
     """
 
-    PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]*)([!-&(-/:-@\[-`{-~]*)")
+    #: one word a line: letters and the marks behind them, or any other word
+    WORDS = re.compile(r"(?m)^([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-@\[-`{-~]*)$|^(.+)$")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,22 +54,35 @@ class WordTokenizer:
         self.index: dict[bytes, int] = {}
         self.flat, self.starts, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _ids(self, word: str) -> list[int]:
-        merge = self.tokenizer.model.tokenize
-        word = word.lower() if word.isascii() else word
-        if plain := self.PLAIN.fullmatch(word):
-            letters, marks = plain.groups()
-            ids = [t.id for t in merge(letters.translate(self.alphabet))] if letters else []
-            return ids + self.marks(marks) if marks else ids
+    def _whole(self, word: str) -> list[int]:
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word))
-        return [t.id for piece, _ in pieces for t in merge(piece)]
+        return [t.id for piece, _ in pieces for t in self.tokenizer.model.tokenize(piece)]
+
+    def _letters(self, run: str) -> list[int]:
+        at = self.index.get(run.encode(), len(self.starts))
+        if at < len(self.starts):  # a word by itself, learned before
+            return self.flat[self.starts[at] : self.starts[at] + self.lengths[at]].tolist()
+        run = run if run.isascii() else run.translate(self.alphabet)
+        return [t.id for t in self.tokenizer.model.tokenize(run)]
 
     def _learn(self, words: list[bytes]) -> None:
-        ids = [self._ids(w.decode()) for w in words]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))))
+        runs, flat, lengths = {"": []}, array("I"), array("q")
+        for letters, marks, other in self.WORDS.findall(b"\n".join(words).decode()):
+            if other:
+                ids = self._whole(other)
+            else:
+                run = letters.lower()
+                ids = runs.get(run)
+                if ids is None:
+                    ids = runs[run] = self._letters(run)
+                if marks:
+                    ids = ids + self.marks(marks)
+            flat.extend(ids)
+            lengths.append(len(ids))
+        counts = np.array(lengths, np.int64)
+        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(counts) - counts))
+        self.lengths = np.concatenate((self.lengths, counts))
+        self.flat = np.concatenate((self.flat, np.array(flat, np.uint32)))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.index) > REMEMBERED:
