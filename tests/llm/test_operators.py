@@ -112,6 +112,28 @@ def test_lm_many_batches(small, small_rows, monkeypatch):
     same(rounded(got), rounded(brute.lm(small_rows, 0.1, (50.0, 5.0))))
 
 
+@pytest.mark.parametrize("lane", [1, 2, 7])
+def test_lm_lanes_carry_the_same_state(lane, small_rows, monkeypatch):
+    """Short lanes score as one lane a text does, on counts with unseen pairs, triples and words."""
+    rows = [*brute.hostile_rows(), *small_rows[:60]]
+    g = lm.Grams([i for i, _ in rows], [(t or "").encode() for _, t in rows])
+    rng = np.random.default_rng(5)
+    one = g.counts[1] * (rng.random(len(g.counts[1])) < 0.7)
+    one[g.start] = 40
+    two, three = np.flatnonzero(g.at[2] >= 0), np.flatnonzero(g.at[3] >= 0)
+    ends = np.zeros((len(g.counts[2]), 2), np.int64)
+    ends[g.at[2][two]] = np.stack((g.word[two - 1], g.word[two]), 1)
+    pair = g.counts[2] * (rng.random(len(ends)) < 0.6) * (one[ends] > 0).all(1)
+    halves = np.zeros((len(g.counts[3]), 2), np.int64)
+    halves[g.at[3][three]] = np.stack((g.at[2][three - 1], g.at[2][three]), 1)
+    triple = g.counts[3] * (rng.random(len(halves)) < 0.6) * (pair[halves] > 0).all(1)
+    a = lm.Automaton(g, {1: one, 2: pair, 3: triple}, int(one.sum()), int((one > 0).sum()), 0.1, (200.0, 20.0))
+    monkeypatch.setattr(lm, "LANE", 1 << 30)
+    whole = a.read()
+    monkeypatch.setattr(lm, "LANE", lane)
+    assert np.allclose(a.read(), whole, rtol=0, atol=1e-7)
+
+
 def test_totals_above_32_bits(spark):
     keys, counts = np.array([5, 9], np.uint64), np.array([4_000_000_000, 1], np.uint32)
     rows = [tuple(r.values()) for b in (0, 1) for r in batches.ask_rows(b, 1, keys, counts, 1)]

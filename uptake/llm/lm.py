@@ -40,6 +40,8 @@ from uptake.llm.store import stored
 from uptake.llm.words import BASE, Index, mix, word_hashes
 
 BATCH_BYTES = 8 << 20
+#: Tokens that a lane reads; longer texts are read in several lanes.
+LANE = 512
 #: The start of a text and its end, which no word can be.
 START, END = b"\n", b""
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -102,10 +104,13 @@ class Grams:
 class Automaton:
     """The part of the backoff automaton that one batch can reach, as arrays.
 
-    A state is a history: none (level 0), a token (level 1) or a pair (level 2).
-    ``arc`` holds, per level, the weight of the arc for each token, pair and
-    triple, NaN where training has not shown it; ``fail`` the weight of the
-    failure arc of each token and pair as a history.
+    States: 0 is the empty history, then one per token and one per pair of the
+    batch; a state that training has not shown is never entered. Arcs: one per
+    token (leaving state 0), pair and triple, numbered in that order, with the
+    state each leads to; the weight is NaN where training has not shown the
+    arc. ``fail_to`` and ``fail`` are the failure arc of each state. The arc of
+    a state of level L (0, 1, 2 tokens of history) for the token at a place of
+    the text is the gram of L + 1 tokens that ends there: ``label[L]``.
     """
 
     def __init__(self, grams: Grams, count: dict[int, np.ndarray], n: int, v: int, alpha: float, mu: tuple[float, float]):
@@ -122,34 +127,60 @@ class Automaton:
         p2 = (c2 + mu[0] * p1[last]) / (c1[first] + mu[0])
         p3 = (c3 + mu[1] * p2[tail]) / (c2[head] + mu[1])
         seen = lambda p, c: np.where(c > 0, np.log10(p), np.nan)
-        self.arc = [np.log10(p1), seen(p2, c2), seen(p3, c3)]
-        self.fail = [np.log10(mu[0] / (c1 + mu[0])), np.log10(mu[1] / (c2 + mu[1]))]
-        self.history = [c1 > 0, c2 > 0]
+        words, pairs = len(c1), len(c2)
+        word_state, pair_state = np.where(c1 > 0, 1 + np.arange(words), 0), 1 + words + np.arange(pairs)
+        self.arc = np.concatenate((np.log10(p1), seen(p2, c2), seen(p3, c3)))
+        self.to = np.concatenate((word_state, pair_state, pair_state[tail]))
+        self.fail = np.concatenate(([0.0], np.log10(mu[0] / (c1 + mu[0])), np.log10(mu[1] / (c2 + mu[1]))))
+        self.fail_to = np.concatenate(([0], np.zeros(words, np.int64), word_state[last]))
+        self.level = np.repeat(np.arange(3), (1, words, pairs))
+        self.label = np.stack((g.word, words + g.at[2], words + pairs + g.at[3]))
+        self.begin = word_state[g.start]
         self.grams = g
 
-    def read(self) -> tuple[np.ndarray, np.ndarray]:
-        """One pass over all texts: per token, its base weight and the sum of the arcs it takes.
+    def base(self) -> np.ndarray:
+        """The weight of the arc of state 0 for every token."""
+        return self.arc[self.grams.word[self.grams.at[2] >= 0]]
 
-        The state carried to a token is the longest history seen in training
-        of the two tokens before, so every token's step is known from its
-        place: all steps of the batch are taken side by side.
+    def read(self) -> np.ndarray:
+        """Per document the weight of its path, texts read from left to right in lockstep.
+
+        Each lane carries a state and a sum, one token a step: while the state
+        has no arc for the token it takes the failure arc. A text of more than
+        ``LANE`` tokens is read in several lanes. Histories have two tokens,
+        so a lane that starts in state 0 two tokens early is in the
+        state that one reading from the text's begin would be in.
         """
         g = self.grams
-        at1, at2, at3 = g.word, g.at[2], g.at[3]
-        ends = np.flatnonzero(at2 >= 0)
-        base = self.arc[0][at1[ends]]
-        total = base.copy()
-        # state of level 1: the arc of the pair, else the failure arc and on from level 0
-        state = self.history[0][at1[ends - 1]]
-        arc = self.arc[1][at2[ends]]
-        total = np.where(state, np.where(np.isnan(arc), self.fail[0][at1[ends - 1]] + total, arc), total)
-        # state of level 2: the arc of the triple, else the failure arc and on from level 1
-        long = at3[ends] >= 0
-        mine = ends[long]
-        state = self.history[1][at2[mine - 1]]
-        arc = self.arc[2][at3[mine]]
-        total[long] = np.where(state, np.where(np.isnan(arc), self.fail[1][at2[mine - 1]] + total[long], arc), total[long])
-        return base, total
+        tokens = g.lengths - 1
+        lanes = -(-tokens // LANE)
+        doc = np.repeat(np.arange(len(tokens)), lanes)
+        place = (np.arange(len(doc)) - np.repeat(np.cumsum(lanes) - lanes, lanes)) * LANE
+        early = np.where(place > 0, 2, 0)
+        length = np.minimum(tokens[doc] - place, LANE) + early
+        order = np.argsort(-length, kind="stable")
+        doc, place, early, length = doc[order], place[order], early[order], length[order]
+        at = g.begins[doc] + 1 + place - early
+        state = np.where(place > 0, 0, self.begin)
+        total = np.zeros(len(doc))
+        live = np.searchsorted(-length, -np.arange(length.max(initial=0)), "left")
+        for k, m in enumerate(live.tolist()):
+            here, now = at[:m] + k, state[:m]
+            arc = self.label[self.level[now], here]
+            weight = self.arc[arc]
+            missed = np.flatnonzero(np.isnan(weight))
+            weight[missed] = 0
+            while len(missed):
+                weight[missed] += self.fail[now[missed]]
+                now[missed] = self.fail_to[now[missed]]
+                arc[missed] = self.label[self.level[now[missed]], here[missed]]
+                step = self.arc[arc[missed]]
+                found = ~np.isnan(step)
+                weight[missed[found]] += step[found]
+                missed = missed[~found]
+            state[:m] = self.to[arc]
+            total[:m] += weight if k > 1 else np.where(k < early[:m], 0, weight)
+        return np.bincount(doc, total, len(tokens))
 
 
 def score(docs: DataFrame, alpha: float = 0.1, mu: tuple[float, float] = (200.0, 20.0)) -> DataFrame:
@@ -183,7 +214,7 @@ def score(docs: DataFrame, alpha: float = 0.1, mu: tuple[float, float] = (200.0,
             doc_ids = left.column("doc_id")[k].as_py()
             g = Grams(doc_ids, texts_of(left, k))
             a = Automaton(g, answers(right), tokens, distinct, alpha, mu)
-            base, weight = a.read()
+            base, weight = a.base(), a.read()
             known = a.known[g.word[g.at[2] >= 0]]
             begins = g.begins - np.arange(len(doc_ids))  # without the STARTs before
             out["doc_id"] += doc_ids
@@ -192,7 +223,7 @@ def score(docs: DataFrame, alpha: float = 0.1, mu: tuple[float, float] = (200.0,
             out["n_known"] += np.add.reduceat(known.astype(np.int64), begins).tolist()
             out["train_tokens"] += [tokens] * len(doc_ids)
             out["base_score"] += np.add.reduceat(base, begins).tolist()
-            out["score"] += np.add.reduceat(weight, begins).tolist()
+            out["score"] += weight.tolist()
         return pa.Table.from_pydict(out, _ARROW)
 
     mine = replies.filter("batch >= 0")
