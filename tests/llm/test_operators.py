@@ -353,6 +353,52 @@ def test_one_id_with_several_texts(spark, monkeypatch, at_once):
     same(left, [*rows[:6], rows[11], rows[13], rows[15]])
 
 
+def templates(count, shared=430, own=70, seed=5):
+    """Pages of one template: ``shared`` words of all and, at their end, ``own`` words of each; every tenth has a near copy."""
+    r = np.random.default_rng(seed)
+    head = " ".join(f"t{x}" for x in range(shared))
+    rows = []
+    for i in range(count):
+        words = [f"w{x}" for x in r.integers(0, 10**9, own)]
+        rows.append((2 * i, f"{head} {' '.join(words)}"))
+        if i % 10 == 0:
+            words[own // 2] = "other"
+            rows.append((2 * i + 1, f"{head} {' '.join(words)}"))
+    return rows
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_pages_of_one_template(spark, percent):
+    """Pages just under the threshold share every band's groups; only those that are near copies are compared and linked."""
+    rows = templates(400, *((430, 70) if percent == 85 else (410, 90)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 3, percent).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+    sets = spark.createDataFrame([(i, x.view(np.int64).tolist()) for (i, _), x in zip(rows, neardup.shingle_sets([t for _, t in rows], 3))], "rep long, shingles array<long>")
+    rare = neardup._rarest(sets, percent)
+    met = rare.filter("short").join(rare.select("key", F.col("rep").alias("other")), "key").filter("rep <> other").select(F.least("rep", "other"), F.greatest("rep", "other")).distinct().collect()
+    assert set(met) >= {(i - 1, i) for i, _ in rows if i % 2} and len(met) < 2 * len(rows)
+
+
+def test_rarest_shingles_meet(spark):
+    """Of two sets at the threshold, one of the smaller one's rarest shingles is among the larger one's."""
+    r = np.random.default_rng(11)
+    rows, pairs = [], []
+    for i in range(200):
+        size = int(r.integers(1, 120))
+        common = r.choice(400, size, replace=False)
+        gone = int(size * 0.15 * r.random())
+        rows += [(2 * i, common.tolist()), (2 * i + 1, common[gone:].tolist())]
+        pairs.append((2 * i, 2 * i + 1))
+    keys, short = {}, {}
+    for key, rep, first in neardup._rarest(spark.createDataFrame(rows, "rep long, shingles array<long>"), 85).collect():
+        keys.setdefault(rep, set()).add(key)
+        short.setdefault(rep, set()).update([key] if first else [])
+    sets = {i: set(x) for i, x in rows}
+    linked = [(a, b) for a in sets for b in sets if a != b and len(sets[a]) <= len(sets[b]) and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    assert len(linked) >= len(pairs) and all(short[a] & (short if len(sets[a]) == len(sets[b]) else keys)[b] for a, b in linked)
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_near_duplicates_recall_at_the_threshold(spark, percent):
     """2000 pairs of a Jaccard similarity from the threshold to 0.03 above it: all pass the bands, the bits and the estimate."""

@@ -13,12 +13,19 @@ a small set says as much as one of a large set.
 
 Candidates of a band are never emitted all with all. Groups of up to AT_ONCE
 members compare all of them; in a larger one all members meet its smallest
-first, links so confirmed join components, and only members of different
-components are compared further. Comparing is a test inside the join on the
-band, of sizes, of 128 bits of the sketch and, in the last step, of 1024
-parities that bound the difference of two sets from below; a row comes out
-only for a pair that may be linked. So a group of thousands of copies costs a row per member
-and band, while a link that the pivot misses is still found.
+first, and links so confirmed join components. Where members of a large group
+are left in several components, as pages of one template are, they meet again
+on their rarest shingles. Two linked sets of a <= b members share at least
+t (a + b) / (1 + t), so in any common order one of the first a - 2 t a / (1 + t) + 1
+of the smaller is among the first b - t b + 1 of the larger. The order is by
+frequency (counted in CELLS cells, ties by hash), so a template's own words, which
+all its pages share, come last and make no pairs for pages below the threshold.
+Of the members of one such shingle, those of its largest component are only
+compared with the others. Comparing is a test inside
+the join, of sizes, of 128 bits of the sketch and, in the last step, of 1024
+parities that bound the difference of two sets from below; a row comes out only
+for a pair that may be linked. So a group of thousands of copies costs a row per
+member and band, while a link that the pivot misses is still found.
 
 Bands follow the threshold t: as long as 256 registers allow while a pair at t
 shares no band with odds of at most MISSED, (1 - t^rows)^bands. That is 32 bands
@@ -56,6 +63,8 @@ REGISTERS, MANTISSA = 256, 10
 MISSED = 3e-7
 #: Members up to which the pairs of a band's group are compared at once.
 AT_ONCE = 64
+#: Cells in which shingles are counted to order them by frequency; the order is exact for any counts.
+CELLS = 1 << 20
 #: For each register the order in which it looks for one that is not empty.
 _DONORS = np.stack([np.concatenate(([i], np.random.default_rng(i).permutation(np.delete(np.arange(REGISTERS), i)))) for i in range(REGISTERS)])
 
@@ -224,9 +233,9 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold, read from the first text of each class."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(classes.select("rep", "first"), "rep").select("rep", "first.*")
+def _full_sets(reps: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """``rep, shingles``, read from the first text of each class."""
+    wanted = reps.join(classes.select("rep", "first"), "rep").select("rep", "first.*")
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     texts = texts.join(wanted, ["doc_id", "text_key"]).select("rep", "text")
@@ -238,13 +247,38 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, pe
                 sets = shingle_sets(some.column(1).to_pylist(), n)
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], ["rep", "shingles"])
 
-    sets = stored(texts.mapInArrow(run, "rep long, shingles array<long>").dropDuplicates(["rep"]), "sets")
+    return stored(texts.mapInArrow(run, "rep long, shingles array<long>").dropDuplicates(["rep"]), "sets")
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
+    sets = _full_sets(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), classes, docs, n)
     one, two = (sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"s_{c}")) for c in "ab")
     both = pairs.join(two, "b").join(one, "a")
     common = F.size(F.array_intersect("s_a", "s_b"))
     return both.filter(100 * common >= percent * (F.size("s_a") + F.size("s_b") - common)).select("a", "b")
 
 
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """``key, rep, short``: the rarest shingles of each set, for meeting smaller sets; ``short`` those for meeting larger ones."""
+    each = sets.select(F.explode("shingles").alias("key"))
+    counted = each.groupBy(F.col("key").bitwiseAND(F.lit(CELLS - 1)).alias("cell")).agg(F.count("*").alias("n")).toArrow()
+    counts = np.zeros(CELLS, np.int64)  # at most CELLS rows, whatever the input
+    counts[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for rep, shingles in zip(part.column(0).to_pylist(), part.column(1)):
+                keys = shingles.values.to_numpy()
+                n = len(keys)
+                long, short = n + 1 - -(-percent * n // 100), n + 1 - -(-2 * percent * n // (100 + percent))
+                keys = keys[np.lexsort((keys, shared.value[keys & (CELLS - 1)]))[:long]]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(long, rep)), pa.array(np.arange(long) < short)], ["key", "rep", "short"])
+
+    return sets.mapInArrow(run, "key long, rep long, short boolean")
+
+
 def _links(classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Confirmed links between representatives, enough to connect all that candidates connect."""
     bands = stored(_bands(classes, percent), "bands")
@@ -268,12 +302,21 @@ def _links(classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     found = linked(within.unionByName(star))
     # what is left: members of large groups in different components
     label = stored(components(found), "labels")
-    left = many.drop("component").join(label, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
-    split = left.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    left = stored(left.join(split, "key", "left_semi").join(classes.select("rep", "odd"), "rep"), "left")
-    one, two = (side(left, k, "odd") for k in (1, 2))
-    rest = one.join(two, "key").filter(F.expr("rep_1 < rep_2 and component_1 <> component_2") & _can_link(percent, "odd_1", "odd_2", "n_1", "n_2"))
-    return found.unionByName(linked(rest))
+    left = many.select("key", "rep").join(label, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    left = stored(left.join(_split(left), "key").select("rep", "component").distinct(), "left")
+    rare = stored(_rarest(_full_sets(left.select("rep"), classes, docs, n), percent).join(left, "rep"), "rare")
+    met = stored(rare.join(_split(rare, "short"), "key").join(facts, "rep").join(classes.select("rep", "odd"), "rep"), "met")
+    small, minor = met.filter("short"), "component <> largest"
+    meeting = F.expr("component_1 <> component_2 and (n_1 < n_2 or n_1 = n_2 and short_2 and rep_1 < rep_2)") & _can_link(percent, "odd_1", "odd_2", "n_1", "n_2")
+    rest = (side(a, 1, "odd").join(side(b, 2, "odd", "short"), "key").filter(meeting) for a, b in ((small.filter(minor), met), (small.filter(f"not ({minor})"), met.filter(minor))))
+    return found.unionByName(linked(next(rest).unionByName(next(rest))))
+
+
+def _split(members: DataFrame, one_is: str = "true") -> DataFrame:
+    """``key, largest``: the keys whose members lie in several components, where ``one_is`` holds for one of them, and the component with most of them."""
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"), F.max(F.expr(one_is)).alias("any"))
+    parts = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max("any").alias("any"), F.max(F.struct("size", "component")).alias("top"))
+    return parts.filter("parts > 1 and any").select("key", F.col("top.component").alias("largest"))
 
 
 def _linked(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
