@@ -244,3 +244,37 @@ def test_rows_without_a_region_are_spread_over_the_name_join(spark):
     assert all(r.Region == f"r{r.Lga}" for r in rows if r.Lga is not None)
     per_task = [sum(r.task == t for r in alone) for t in {r.task for r in rows}]
     assert max(per_task) < 150 and sum(n > 0 for n in per_task) >= 6
+
+
+def _nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def test_the_fan_out_of_the_region_dimension_is_not_aggregated(spark):
+    """Repeats leave before the joins: no task holds the joined rows, and odd rows give the rows of the plain definition."""
+    installations = spark.createDataFrame([(p, s) for p in (1, 2, 3, 4, None) for s in ("A", "B", "A", None)], "Postcode bigint, State string")
+    crosswalk = [(10, "r", 1), (10, "r", 1), (10, "q", 1), (11, None, 1), (None, "n", 1), (None, None, 2), (12, "t", 2), (12, "t", 9), (10, "r", None)]
+    links = spark.createDataFrame(crosswalk, "Lga bigint, Region string, Postcode bigint")
+    kinds = [(1, 5.0, 1, 2.0), (1, 5.0, 2, 2.0), (1, -0.0, 4, 2.0), (1, 0.0, 4, 2.0), (1, 5.0, 3, 1.0), (2, None, 3, 0.0), (2, None, 3, -0.0), (3, 1.0, 1, 1.0), (4, 1.0, 1, None)]
+    remoteness = spark.createDataFrame(kinds, "Postcode bigint, Area double, MMM_Class int, MMM_Area double")
+    dim = star.dim_region(installations, links, remoteness, links)
+
+    top = {p: max((m for q, _, _, m in kinds if q == p and m is not None), default=None) for p in (1, 2, 3, 4)}
+    plain = lambda x: None if x is None else x + 0.0  # noqa: E731 (-0.0 counts as 0.0)
+    classes = {(p, plain(a), plain(m), "Urban" if c in (1, 2) else "Rural") for p, a, c, m in kinds if m is not None and m == top[p]}
+    joined = set()
+    for p, s in {(p, s) for p in (1, 2, 3, 4, None) for s in ("A", "B", None)}:
+        of_place = {lga for lga, _, q in crosswalk if p is not None and q == p}
+        joined |= {(p, s, lga, *c[1:]) for lga in of_place for c in classes if c[0] == p}
+        joined |= {(p, s, lga, None, None, None) for lga in of_place if not any(c[0] == p for c in classes)} or ({(p, s, None, None, None, None)} if not of_place else set())
+    expect = []
+    for p, s, lga, area, size, kind in joined:
+        for name in {r for g, r, _ in crosswalk if lga is not None and g == lga} or {None}:
+            expect.append((p, s, lga, name, area, size, kind))
+    assert sorted(map(str, (tuple(r) for r in dim.collect()))) == sorted(map(str, expect))
+
+    inner = [n for n in _nodes(dim._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Aggregate"]
+    joins = [n for n in _nodes(dim._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Join"]
+    assert len(joins) == 4 and all(sum(m.nodeName() == "Join" for m in _nodes(n)) <= 1 for n in inner)

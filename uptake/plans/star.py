@@ -100,24 +100,21 @@ def dim_region(
     (Lga, Region) names. Repeated rows (a postcode in several regions, tied
     class areas, a region with two names) are kept: they define the fan-out
     of the fact join.
+
+    The DISTINCT is taken on each table before the joins: tables without
+    repeats, joined on Postcode, give rows without repeats. So the fan-out
+    passes through its task row by row, and no task keeps its share of it.
+    The names, too, meet the crosswalk before the fan-out.
     """
-    classes = remoteness_class(remoteness)
-    cw = crosswalk.select("Lga", "Postcode")
-    mapped = cw.join(classes, on=["Postcode"], how="left").select(
-        cw["Postcode"], cw["Lga"], classes["Area"], classes["MMM_Area"], classes["Region_Type"]
-    )
-    postcode_lga = (
-        postcode_states(installations)
-        .join(mapped, on=["Postcode"], how="left")
-        .select("Postcode", "State", "Lga", "Area", "MMM_Area", "Region_Type")
-        .distinct()
-    )
-    # a postcode without a region matches no name: a second key, by which rows
-    # without a region differ, spreads them instead of sending all to one task
-    spread = F.when(F.col("Lga").isNull(), F.xxhash64("Postcode", "State")).otherwise(F.lit(0).cast("bigint"))
+    classes = remoteness_class(remoteness).distinct()
+    # a crosswalk row without a region matches no name: a second key, by which
+    # such rows differ, spreads them instead of sending all to one task
+    spread = F.when(F.col("Lga").isNull(), F.xxhash64("Postcode")).otherwise(F.lit(0).cast("bigint"))
     # (0 on the names' side, in a form that the optimizer does not fold out of the join)
     names = region_names.select("Lga", "Region").distinct().withColumn("__spread", F.pmod(F.xxhash64("Lga"), F.lit(1)))
-    return postcode_lga.withColumn("__spread", spread).join(names, on=["Lga", "__spread"], how="left").select(
+    links = crosswalk.select("Lga", "Postcode").distinct().withColumn("__spread", spread)
+    mapped = links.join(names, on=["Lga", "__spread"], how="left").join(classes, on=["Postcode"], how="left")
+    return postcode_states(installations).join(mapped, on=["Postcode"], how="left").select(
         "Postcode",
         "State",
         "Lga",
