@@ -105,3 +105,40 @@ def test_keys_of_text(spark):
     assert [(r.target_key, r.control_key) for r in got.collect()] == [("t1", "c1")]
     none = match_nearest(df.limit(0), "key", "treated", "score", caliper=0.5)
     assert none.count() == 0 and none.schema.simpleString() == got.schema.simpleString()
+
+
+def test_draws_in_tasks_are_the_hash_draws(spark):
+    """Same numbers as the column expression, where positions and replicates gain digits, too."""
+    import hashlib
+
+    from uptake.operators.draws import hash_draws
+    from uptake.operators.resample import hash_draw
+
+    for seed, replicate, low, high, n in [(42, 0, 0, 1, 1), (42, 99, 5, 20_011, 20_011), (-7, 1999, 99_998, 100_003, 180_001), (2**62, 10**6, 10**9 - 2, 10**9 + 2, 10**9 + 7)]:
+        got = hash_draws(seed, replicate, low, high, n).tolist()
+        assert got == [int(hashlib.md5(f"{seed}:{replicate}:{i}".encode()).hexdigest()[:15], 16) % n for i in range(low, high)]
+        if high - low < 100:
+            assert got == [r.j for r in spark.range(low, high, 1, 1).select(hash_draw(seed, F.lit(replicate), F.col("id"), n).alias("j")).collect()]
+
+
+def test_bootstrap_moves_packed_draws_not_rows(spark, monkeypatch):
+    """Several blocks, chunks and parts, NULL values drawn and skipped; the shuffle has a row per replicate, chunk and block."""
+    import math
+
+    from uptake.operators import resample
+
+    for name, size in (("DRAW_BLOCK", 64), ("DRAW_CHUNK", 100), ("DRAW_REPLICATES", 3)):
+        monkeypatch.setattr(resample, name, size)
+    n, n_boot = 333, 8
+    held = [None if i % 7 == 0 else float(i * i % 101) for i in range(n)]
+    df = spark.createDataFrame(list(enumerate(held)), "k int, v double").repartition(5)
+    rows = resample.block_rows(spark, n, n_boot, 42)
+    assert rows.count() <= n_boot * 4 * 6 and rows.agg(F.sum(F.length("at"))).first()[0] == 2 * n * n_boot
+    means, m = resample.bootstrap_means(df, "v", "k", n_boot)
+    drawn = spark.range(n * n_boot).select((F.col("id") / n).cast("int").alias("b"), (F.col("id") % n).alias("i")).select("b", resample.hash_draw(42, F.col("b"), F.col("i"), n).alias("j")).collect()
+    want = {b: [held[r.j] for r in drawn if r.b == b and held[r.j] is not None] for b in range(n_boot)}
+    assert m == n and {r.replicate: r.mean for r in means.collect()} == {b: sum(x) / len(x) for b, x in want.items()}
+    # all NULL: no mean; NaN stays NaN
+    none = spark.createDataFrame([(1, None), (2, None)], "k int, v double")
+    assert [r.mean for r in resample.bootstrap_means(none, "v", "k", 3)[0].collect()] == [None] * 3
+    assert all(math.isnan(r.mean) for r in resample.bootstrap_means(spark.createDataFrame([(1, float("nan"))], "k int, v double"), "v", "k", 3)[0].collect())

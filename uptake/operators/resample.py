@@ -8,10 +8,15 @@ any engine with md5 reproduces it.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 
 def dense_index(df: DataFrame, order: str, name: str = "idx", partitions: int | None = None) -> DataFrame:
     """Attach 0..n-1 by ascending ``order`` without a single-partition global window.
@@ -61,9 +66,11 @@ def bootstrap_means(
 
     Returns (DataFrame(replicate, mean), n). NULL values are drawn like any
     other row and skipped by the mean, as pandas does. The n * n_boot draws
-    are a range that Spark splits over its tasks, and are
-    joined to the indexed values on the drawn index; AQE broadcasts the value
-    side while it is small and shuffles both sides otherwise.
+    are those of :func:`hash_draw`, made in tasks that each take some chunks of
+    replicates. They are sent to blocks of the dense index, two bytes a
+    draw, where the values lie; a block gives a sum and a count per replicate.
+    A task holds the draws of one chunk, or one block of values
+    and the draws of ``DRAW_REPLICATES`` replicates that fall into it.
     """
     spark = values.sparkSession
     if indexed is None:
@@ -72,11 +79,62 @@ def bootstrap_means(
         n = indexed.count()
     if n == 0:
         return spark.createDataFrame([], "replicate bigint, mean double"), 0
-    draws = spark.range(n * n_boot).select(F.expr(f"id div {n}").alias("replicate"), (F.col("id") % n).alias("pos"))
-    draws = draws.select("replicate", hash_draw(seed, F.col("replicate"), F.col("pos"), n).alias("j"))
-    joined = draws.join(indexed.select("j", F.col(value).cast("double").alias("v")), on=["j"], how="inner")
-    means = joined.groupBy("replicate").agg(F.avg("v").alias("mean"))
-    return means, n
+    draws = block_rows(spark, n, n_boot, seed)
+    block, parts = F.expr(f"j div {DRAW_BLOCK}"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit((n_boot - 1) // DRAW_REPLICATES).cast("bigint")))
+    held = indexed.select(block.alias("block"), (F.col("j") % DRAW_BLOCK).cast("int").alias("at"), F.col(value).cast("double").alias("v"))
+    held = held.withColumn("part", parts)
+    sums = held.groupBy("block", "part").cogroup(draws.groupBy("block", "part")).applyInArrow(_block_sums, "replicate bigint, s double, m bigint")
+    means = sums.groupBy("replicate").agg(F.sum("s").alias("s"), F.sum("m").alias("m"))
+    return means.select("replicate", F.try_divide("s", "m").alias("mean")), n
+
+
+#: Rows of a block that draws are sent to, draws made at once, replicates whose draws meet a block in one task.
+DRAW_BLOCK = 1 << 14
+DRAW_CHUNK = 1 << 20
+DRAW_REPLICATES = 500
+
+
+def block_rows(spark, n: int, n_boot: int, seed: int) -> DataFrame:
+    """(block, part, replicate, at): the draws of each replicate by block of the index, places inside the block as 16-bit integers."""
+    import pyarrow as pa
+
+    chunks = -(-n // DRAW_CHUNK)
+    # a task makes 64 chunks at most
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n_boot * chunks // 64))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        from uptake.operators.draws import hash_draws
+
+        for rows in parts:
+            for i in rows.column(0).to_pylist():
+                replicate, chunk = i % n_boot, i // n_boot
+                drawn = np.sort(hash_draws(seed, replicate, chunk * DRAW_CHUNK, min((chunk + 1) * DRAW_CHUNK, n), n))
+                block = drawn // DRAW_BLOCK
+                first = np.flatnonzero(np.diff(block, prepend=-1))
+                at = np.split((drawn % DRAW_BLOCK).astype(np.uint16), first[1:])
+                columns = [pa.array(block[first]), pa.array(np.full(len(at), replicate // DRAW_REPLICATES)), pa.array(np.full(len(at), replicate)), pa.array([x.tobytes() for x in at], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "part", "replicate", "at"])
+
+    return spark.range(0, n_boot * chunks, 1, min(tasks, n_boot * chunks)).mapInArrow(run, "block bigint, part bigint, replicate bigint, at binary")
+
+
+def _block_sums(values: pa.Table, draws: pa.Table) -> pa.Table:
+    """Sum and number of the values drawn from one block, per row of ``draws``."""
+    import numpy as np
+    import pyarrow as pa
+
+    place, v = values.column("at").to_numpy(), values.column("v")
+    value, present = np.zeros(DRAW_BLOCK), np.zeros(DRAW_BLOCK, bool)
+    present[place] = v.is_valid().to_numpy()
+    value[place] = np.where(present[place], v.to_numpy(), 0.0)
+    sums, counts = [], []
+    for x in draws.column("at"):
+        at = np.frombuffer(x.as_buffer(), np.uint16)
+        sums.append(value[at].sum())
+        counts.append(np.count_nonzero(present[at]))
+    return pa.table({"replicate": draws.column("replicate"), "s": pa.array(sums, pa.float64()), "m": pa.array(counts, pa.int64())})
 
 
 def _poisson1_cdf(k_max: int = 18) -> list[float]:
