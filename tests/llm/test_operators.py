@@ -142,6 +142,24 @@ def test_totals_above_32_bits(spark):
     assert batches.answers(got)[1].tolist() == [8_000_000_000, 2]
 
 
+def test_planes_come_back_and_noise_does_not_spoil_the_other_planes():
+    """Sorted random keys take what their gaps hold: five bytes of noise and a plane of few values in its own code."""
+    rng = np.random.default_rng(8)
+    for dtype in (np.uint32, np.uint64):
+        top = np.iinfo(dtype).max
+        for values in ([], [0], [0] * 300, [top], [0, top, 1] * 40, [255] * 500 + [256], rng.integers(0, top, 1000, dtype)):
+            a = np.array(values, dtype)
+            assert batches.unplanes(batches.planes(a), dtype).tolist() == a.tolist()
+        for n in range(1, 40):  # a frame as long as the plane is not taken for one
+            a = rng.integers(0, 3, n).astype(dtype)
+            assert batches.unplanes(batches.planes(a), dtype).tolist() == a.tolist()
+    keys = np.unique(rng.integers(0, 1 << 64, 1 << 20, np.uint64))
+    rows = batches.ask_rows(0, 3, keys, np.ones(len(keys), np.uint32), 128)
+    assert np.array_equal(np.concatenate([batches.unpack_keys(r["keys"]) for r in rows]), keys)
+    ideal = (64 - np.log2(len(keys)) + np.log2(np.e)) / 8
+    assert sum(len(r["keys"]) for r in rows) / len(keys) < 1.015 * ideal
+
+
 def _chat(rows):
     out = []
     for conv in {r[0] for r in rows}:

@@ -44,7 +44,7 @@ def text_batches(docs: DataFrame, max_bytes: int, name: str) -> DataFrame:
         ids, texts, size = [], [], 0
 
         def row() -> pa.RecordBatch:
-            block = zstandard.compress(b"".join(t or b"" for t in texts), 3)
+            block = zstandard.compress(b"".join(t or b"" for t in texts), 9)
             sizes = [-1 if t is None else len(t) for t in texts]
             return pa.RecordBatch.from_pylist([{"batch": batch, "doc_id": ids, "sizes": sizes, "texts": block, "n_bytes": size}], _BATCH_ARROW)
 
@@ -72,14 +72,30 @@ def texts_of(rows: pa.RecordBatch | pa.Table, k: int = 0) -> list[bytes]:
 
 
 def planes(a: np.ndarray) -> bytes:
-    """Byte planes of an integer array, compressed: the high bytes are mostly zero or few values."""
-    return zstandard.compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes(), 1) if len(a) else b""
+    """Byte planes of an integer array, each packed on its own: the high bytes are zero or few values, the low ones of keys are noise and stay as they are.
+
+    One frame for all planes would give them one code, in which the noise
+    spoils that of the few values. Layout: number of planes up to the last
+    that is not zero, number of values, bytes per plane, planes.
+    """
+    if not len(a):
+        return b""
+    bytewise = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
+    used = int(np.flatnonzero(bytewise.any(1)).max(initial=-1)) + 1
+    packed = [min(p, zstandard.compress(p, 1), key=len) for p in (row.tobytes() for row in bytewise[:used])]
+    return bytes([used]) + np.array([len(a), *map(len, packed)], "<u4").tobytes() + b"".join(packed)
 
 
 def unplanes(b: bytes, dtype) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    b = zstandard.decompress(b) if b else b
-    return np.frombuffer(b, np.uint8).reshape(size, -1).T.copy().view(dtype).ravel() if b else np.empty(0, dtype)
+    if not b:
+        return np.empty(0, dtype)
+    n, *sizes = np.frombuffer(b, "<u4", b[0] + 1, 1).tolist()
+    out, at = np.zeros((n, np.dtype(dtype).itemsize), np.uint8), 1 + 4 * (b[0] + 1)
+    for k, size in enumerate(sizes):
+        plane = b[at : at + size]
+        out[:, k] = np.frombuffer(plane if size == n else zstandard.decompress(plane), np.uint8)
+        at += size
+    return out.view(dtype).ravel()
 
 
 def pack_keys(keys: np.ndarray) -> bytes:

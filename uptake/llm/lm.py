@@ -39,7 +39,7 @@ from uptake.llm.batches import answers, ask, ask_rows, bucket_count, text_batche
 from uptake.llm.store import stored
 from uptake.llm.words import BASE, Index, mix, word_hashes
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 10 << 20
 #: Tokens that a lane reads; longer texts are read in several lanes.
 LANE = 512
 #: The start of a text and its end, which no word can be.
